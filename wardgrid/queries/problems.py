@@ -73,4 +73,12 @@ def p7_wide(spark: SparkSession, d: str) -> DataFrame:
     return pivot_wide(rows, "admissionid", "itemid", "value", attributes, ["measuredat", "registeredat", "numericid"], entities=table(spark, d, "admissions"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_periods, p3_found, p5_found, p5_grid, p6_found, p6_converted, p7_wide)}
+def p7_wide_converted(spark: SparkSession, d: str) -> DataFrame:
+    """The same with values brought to their items' target units first."""
+    items = table(spark, d, "items")
+    rows = _converted(spark, d)
+    attributes = discover_attributes(table(spark, d, "numericitems"), items, "itemid", "valuetype")
+    return pivot_wide(rows, "admissionid", "itemid", "target_value", attributes, ["measuredat", "registeredat", "numericid"], entities=table(spark, d, "admissions"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_periods, p3_found, p5_found, p5_grid, p6_found, p6_converted, p7_wide, p7_wide_converted)}

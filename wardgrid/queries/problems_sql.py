@@ -7,8 +7,8 @@ _REACH = f"""with d as ({_MEDICATION}),
 o as (select *, max(e) over (partition by admissionid order by s, e rows between unbounded preceding and 1 preceding) p from d)"""
 
 # The catalogue's items by type.
-INTEGER_ITEMS = (41011, 41012, 41013, 41014, 41015, 42024, 42026, 43041, 43042, 43043, 43044, 43045, 44061, 44063, 44065, 44069, 44071, 44072, 44075, 44077, 45081, 45082, 45083, 46093, 46095, 46096)
-DECIMAL_ITEMS = (42021, 42022, 42023, 42025, 42027, 42028, 42029, 42030, 43046, 44062, 44064, 44066, 44067, 44068, 44070, 44073, 44074, 44076, 44078, 44079, 46091, 46092)
+INTEGER_ITEMS = (41011, 41012, 41013, 41014, 41015, 42024, 42026, 43041, 43042, 43043, 43044, 43045, 44061, 44063, 44065, 44069, 44071, 44072, 44075, 44077, 45081, 45082, 45083, 46092, 46093, 46095, 46096)
+DECIMAL_ITEMS = (42021, 42022, 42023, 42025, 42027, 42028, 42029, 42030, 43046, 44062, 44064, 44066, 44067, 44068, 44070, 44073, 44074, 44076, 44078, 44079, 46091)
 FLAG_ITEMS = (45084, 45085, 46094)
 
 
