@@ -240,12 +240,12 @@ def flag_implausible(
     # The season: each source's mean by phase of the day, within bounds; a row for each source and phase.
     phase = F.floor(F.pmod(F.col("t"), F.lit(rules.period)) / F.lit(rules.period // rules.phases)).cast("int")
     means = rows.filter(F.col("bits").bitwiseAND(OUT_OF_BOUNDS) == 0).groupBy("source", phase.alias("phase")).agg(F.avg("v").alias("m"), F.count("*").alias("n"))
+    means = cut(means)
     overall = means.groupBy("source").agg((F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("all"))
     season = means.join(overall, "source").select(F.col("source").alias("__s"), F.col("phase").alias("__p"), (F.col("m") - F.col("all")).alias("season"))
-    season = cut(season)
     rows = rows.withColumn("__ph", phase)
     # A row for each source of the catalogue and phase; beyond MAX_SEASON rows a shuffled join takes over.
-    small = season.count() <= MAX_SEASON
+    small = means.count() <= MAX_SEASON
     rows = rows.join(F.broadcast(season) if small else season, (F.col("source") == F.col("__s")) & (F.col("__ph") == F.col("__p")), "left")
     names = [f"k{i}" for i in range(k)]
     rows = rows.select(*names, "source", "t", "v", (F.col("v") - F.coalesce("season", F.lit(0.0))).alias("x"), "id", "bits")

@@ -69,11 +69,11 @@ def substance_edges(tag: str | None) -> list[Edge]:
 
 def normal_text(text: Column) -> Column:
     """A unit's spelling without case, blanks, full stops and variant signs."""
-    return F.translate(F.lower(F.regexp_replace(text, r"[\s .]+", "")), "μµº", "uu°")
+    return F.translate(F.lower(text), "μµº .\u00a0\t\n\r", "uu°")
 
 
 def _spelt(text: str) -> str:
-    return "".join(text.lower().replace(".", "").split()).translate(str.maketrans("μµº", "uu°"))
+    return text.lower().translate(str.maketrans("μµº", "uu°", " .\u00a0\t\n\r"))
 
 
 def _label_unit(text: Column) -> Column:
@@ -122,18 +122,18 @@ def recorded_unit(df: DataFrame, units: Sequence[tuple[int, str]]) -> DataFrame:
     """
     spark = df.sparkSession
     alias = _alias_frame(spark, units)
-    none_id = [i for i, u in units if u == "None"]
     valid = [i for i, u in units if u != "None"]
-    texts = {
-        "__tu": normal_text(F.col("unit")),
-        "__tc": normal_text(_strip_comment(_comment_unit(F.col("comment")))),
-        "__ti": normal_text(_strip(_label_unit(F.col("item")))),
-    }
-    out = df.withColumns({k: F.when(~v.isin(*NO_UNIT), v) for k, v in texts.items()})
-    for k in texts:  # the list of spellings is a constant: a broadcast of fixed size
-        out = out.join(F.broadcast(alias.select(F.col("__t").alias(k), F.col("__u").alias(f"{k}_id"))), k, "left")
+    # The list of spellings is a constant: a broadcast of fixed size.
+    lookup = lambda k: F.broadcast(alias.select(F.col("__t").alias(k), F.col("__u").alias(f"{k}_id")))
+    text = lambda c: F.when(~c.isin(*NO_UNIT), c)
+    out = df.withColumn("__tu", text(normal_text(F.col("unit")))).join(lookup("__tu"), "__tu", "left")
     named_id = F.when(F.col("unitid").isin(*valid), F.col("unitid")) if valid else F.lit(None).cast("long")
-    return out.withColumn("__unit", F.coalesce("__tu_id", named_id, "__tc_id", "__ti_id")).drop(*texts, *[f"{k}_id" for k in texts])
+    out = out.withColumn("__unit", F.coalesce("__tu_id", named_id)).drop("__tu", "__tu_id")
+    # Only rows that name no unit so far have their comment and label searched.
+    for k, found in (("__tc", _strip_comment(_comment_unit(F.col("comment")))), ("__ti", _strip(_label_unit(F.col("item"))))):
+        out = out.withColumn(k, F.when(F.col("__unit").isNull(), text(normal_text(found)))).join(lookup(k), k, "left")
+        out = out.withColumn("__unit", F.coalesce("__unit", f"{k}_id")).drop(k, f"{k}_id")
+    return out
 
 
 def convert_units(
@@ -182,16 +182,17 @@ def convert_units(
             F.collect_set(F.when(F.col("unitid").isin(list(quantity)), F.col("unitid"))).alias("__used"),
         )
     )
-    rows = recorded_unit(df, unit_rows).withColumn("__v", number)
-    # Both sides have a row or a few for each item of the catalogue, at most MAX_ITEMS * units.
-    rows = rows.join(F.broadcast(info), "itemid", "left").join(F.broadcast(usual), "itemid", "left")
+    # A row for each item of the catalogue, at most MAX_ITEMS.
+    about = F.broadcast(info.join(usual, "itemid", "left"))
+    rows = recorded_unit(df, unit_rows).withColumn("__v", number).join(about, "itemid", "left")
     outside = F.col("__unit").isNull() & ((F.col("__v") < F.col("__physmin")) | (F.col("__v") > F.col("__physmax")))
     candidates = F.expr(
         "filter(transform(filter(__others, o -> array_contains(__used, o.u)), o -> struct(abs(__v * o.a + o.b - __usual[1]) as d, o.u as u, __v * o.a + o.b as y)), c -> c.y between __usual[0] and __usual[2])"
     )
     guessed = F.when(outside, F.array_min(candidates)["u"])
-    rows = rows.withColumn("__unit", F.coalesce("__unit", guessed, "__target")).join(F.broadcast(conversions), ["itemid", "__unit"], "left")
-    untouched = F.col("__target").isNull() | (F.col("__unit") == F.col("__target"))
+    other = F.coalesce("__unit", guessed)
+    rows = rows.withColumn("__unit", F.when(other != F.col("__target"), other)).join(F.broadcast(conversions), ["itemid", "__unit"], "left")
+    untouched = F.col("__unit").isNull()
     value = F.when(untouched, F.col("__v")).otherwise(F.col("__v") * F.col("__a") + F.col("__b"))
     changed = F.coalesce(~untouched & F.col("__v").isNotNull() & F.col("__a").isNotNull() & ~((F.col("__a") == 1) & (F.col("__b") == 0)), F.lit(False))
     rows = rows.withColumns({out: value, f"{out}_changed": changed})
