@@ -99,7 +99,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, stop: str, o
     inside = Window.partitionBy(*named, "__b").orderBy("__s")
     opens = reach.filter("__p is null or __s > __p").withColumn("__q", F.lead("__p").over(inside)).withColumn("__last", F.lead("__s").over(inside).isNull())
     # A bucket's last period ends before the next bucket's first one, or at the key's last stop.
-    later = Window.partitionBy(*named).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*named).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
         lists.groupBy(*named, "__b").agg(F.max("__e").alias("__m"), F.lit(None).cast("long").alias("__f"))
         .unionByName(opens.groupBy(*named, "__b").agg(F.lit(None).cast("long").alias("__m"), F.min_by("__p", "__s").alias("__f")))
@@ -107,7 +107,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, stop: str, o
     )
     ends = buckets.select(
         *[F.col(c).alias(f"{c}c") for c in (*named, "__b")],
-        F.coalesce(F.first("__f", ignorenulls=True).over(later), F.max("__m").over(Window.partitionBy(*named))).alias("__end"),
+        F.coalesce(F.last("__f", ignorenulls=True).over(later), F.max("__m").over(Window.partitionBy(*named))).alias("__end"),
     )
     on = [F.col(c).eqNullSafe(F.col(f"{c}c")) for c in (*named, "__b")]
     whole = opens.join(ends, on).withColumn("__stop", F.when(F.col("__last"), F.col("__end")).otherwise(F.col("__q")))
