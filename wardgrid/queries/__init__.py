@@ -1,7 +1,7 @@
 """The registry of queries and their SQL oracles."""
 
-from wardgrid.queries import problems, problems_sql
+from wardgrid.queries import problems, problems_sql, registry, scans
 
-QUERIES = {**problems.QUERIES}
-ORACLES: dict[str, str] = {**problems_sql.ORACLES}
+QUERIES = {**problems.QUERIES, **registry.QUERIES}
+ORACLES: dict[str, str] = {**problems_sql.ORACLES, **registry.ORACLES}
 flagship = problems.p1_found
