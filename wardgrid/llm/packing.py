@@ -186,7 +186,7 @@ def pack(sizes: DataFrame, key: str, size: str, capacity: int = 2048) -> DataFra
     slots = plan_bins(counts, capacity)
     plan = sizes.sparkSession.createDataFrame([(s.size, s.first, s.last, s.bin, s.each) for s in slots], "size long, lo long, hi long, bin0 long, each long")
     ranked = pieces.withColumn("r", F.row_number().over(Window.partitionBy("size", "salt").orderBy("k", "piece")) - 1)
-    # At most capacity * SALTS rows, and a few slots for each size.
-    placed = ranked.join(F.broadcast(before), ["size", "salt"]).withColumn("r", F.col("r") + F.col("before"))
+    placed = ranked.join(before, ["size", "salt"]).withColumn("r", F.col("r") + F.col("before"))
+    # A few slots for each size, so a few times `capacity` rows.
     found = placed.join(F.broadcast(plan), "size").filter("r >= lo and r < hi")
     return found.select(F.col("k").alias(key), "piece", "first", "size", (F.col("bin0") + F.floor((F.col("r") - F.col("lo")) / F.col("each"))).cast("long").alias("bin"))
