@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardgrid.functions.columns import c, finite, nearest_rank, quantile_bin, rank_share, zscore
+from wardgrid.functions.columns import c, finite, quantile_bin, rank_share, sanitized, zscore
+from wardgrid.operators.lookups import null_safe
 
 #: Knots of a rank transform.
 KNOTS = 1000
@@ -37,34 +38,28 @@ def ranked(df: DataFrame, ranks: DataFrame, key: str, value: str, out: str) -> D
     return joined.withColumn(out, F.when(c(value).isNotNull() & F.col("knots").isNotNull(), rank_share(c(value), F.col("knots")))).drop("knots")
 
 
-def fit_quantiles(train: DataFrame, keys: Sequence[str], value: str, bins: int = 10, few: int = 1_000_000) -> DataFrame:
+def fit_quantiles(train: DataFrame, keys: Sequence[str], value: str, bins: int = 10) -> DataFrame:
     """(keys, n, q1 ... q(bins-1)): nearest-rank quantiles of the finite values.
 
     Values are counted first, so a key is as long as its different values; the ranks are found along the
     counts in a sorted window, never in an array of all values.
     """
-    from pyspark.sql import Window
-
     counts = train.filter(finite(c(value))).groupBy(*keys, c(value).alias("__v")).agg(F.count("*").alias("__c"))
     w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     along = counts.withColumns({"__upto": F.sum("__c").over(w), "__all": F.sum("__c").over(Window.partitionBy(*keys))})
-    rank = lambda q: F.floor((F.col("__all") - 1) * F.lit(q) + F.lit(0.5))
-    picks = [F.min(F.when(F.col("__upto") > rank(i / bins), F.col("__v"))).alias(f"q{i}") for i in range(1, bins)]
+    # round((n - 1) * i / bins), halves up, in whole numbers.
+    picks = [F.min(F.when(F.col("__upto") > F.expr(f"((__all - 1) * {2 * i} + {bins}) div {2 * bins}"), F.col("__v"))).alias(f"q{i}") for i in range(1, bins)]
     return along.groupBy(*keys).agg(F.max("__all").alias("n"), *picks)
 
 
 def coded(df: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str, out: str, bins: int = 10) -> DataFrame:
     """Adds the number of the bin by the fitted bounds; rows without bounds go (null keys match null keys)."""
-    from wardgrid.operators.lookups import null_safe
-
     table = bounds.select(*keys, F.array(*[F.col(f"q{i}") for i in range(1, bins)]).alias("__q"))
     return null_safe(df, table, keys).withColumn(out, quantile_bin(c(value), F.col("__q"))).drop("__q")
 
 
 def frequencies(df: DataFrame, keys: Sequence[str], ms: str) -> DataFrame:
     """(keys, frequency): 1 / the mean gap above 0 between a group's successive times."""
-    from pyspark.sql import Window
-
     gap = c(ms) - F.lag(ms).over(Window.partitionBy(*keys).orderBy(ms))
     return df.filter(c(ms).isNotNull()).withColumn("__gap", gap).filter("__gap > 0").groupBy(*keys).agg((F.lit(1.0) / F.avg("__gap")).alias("frequency"))
 
@@ -110,8 +105,6 @@ def pooled_percentiles(df: DataFrame, key: str, value: str, copies: str, at: Seq
 def one_hot(df: DataFrame, column: str, categories: Sequence[str], prefix: str, missing: str = "missing") -> DataFrame:
     """One 0/1 column a category, and one for what is missing or unknown. Two categories whose names come
     out alike are an error."""
-    from wardgrid.functions.columns import sanitized
-
     names = [f"{prefix}_{sanitized(x)}" for x in categories] + [f"{prefix}_{missing}"]
     if len(set(names)) != len(names):
         raise ValueError(f"categories of {column} share a column name")

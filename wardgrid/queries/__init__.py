@@ -1,6 +1,6 @@
 """The registry of queries and their SQL oracles."""
 
-from wardgrid.queries import problems, problems_sql, registry, scans
+from wardgrid.queries import aggregates, problems, problems_sql, registry, scans  # noqa: F401
 
 QUERIES = {**problems.QUERIES, **registry.QUERIES}
 ORACLES: dict[str, str] = {**problems_sql.ORACLES, **registry.ORACLES}
