@@ -155,20 +155,17 @@ def _scan(batches: Iterator[pd.DataFrame], k: int, rules: SpikeRules) -> Iterato
     def emit(kind: int, mask: np.ndarray, **cols) -> pd.DataFrame:
         m = int(mask.sum())
         blank = {"kind": np.full(m, kind, dtype=np.int8), "source": np.zeros(m, dtype=np.int64), "series": [None] * m, "t": np.zeros(m, dtype=np.int64), "id": np.zeros(m, dtype=np.int64), "x": np.zeros(m), "bits": np.zeros(m, dtype=np.int8), "decide": np.zeros(m, dtype=bool), "v": np.zeros(m)}
-        return pd.DataFrame(blank | cols)
+        made = blank | cols
+        made["series"] = pd.Series(made["series"], dtype=object)
+        return pd.DataFrame(made)
 
     sure = flagged & ~edge | (bits & OUT_OF_BOUNDS > 0)
     mask = sure[reading]
     yield emit(FLAGGED, mask, id=ids[mask])
     mask = ((off > 0) & ~sure & ~edge)[reading]
     yield emit(CANDIDATE, mask, id=ids[mask], source=source[reading[mask]], x=off[reading[mask]])
-    size = np.abs(residual)
-    use = ~np.isnan(size)
-    bucket = np.full(len(size), np.iinfo(np.int32).min, dtype=np.int64)
-    positive = use & (size > 0)
-    bucket[positive] = bucket_of(size[positive], rules.width)
-    counts = pd.DataFrame({"source": source[use], "t": bucket[use]}).value_counts().reset_index(name="x")
-    yield emit(COUNT, np.ones(len(counts), dtype=bool), source=counts["source"].to_numpy(), t=counts["t"].to_numpy(), x=counts["x"].to_numpy(dtype=float))
+    counts = _counted(source, residual, ~edge, rules)
+    yield emit(COUNT, np.ones(len(counts), dtype=bool), source=counts["source"].to_numpy(), t=counts["t"].to_numpy(), x=counts["x"].to_numpy())
     names = [f"k{i}" for i in range(k)]
     mask = context
     yield emit(EDGE, mask, source=source[mask], series=list(head[names].to_numpy()[mask]), t=head["t"].to_numpy()[mask], x=x[mask], v=v[mask], bits=bits[mask].astype(np.int8), decide=edge[mask])
@@ -176,23 +173,37 @@ def _scan(batches: Iterator[pd.DataFrame], k: int, rules: SpikeRules) -> Iterato
     yield emit(EDGE_ID, mask, series=list(rows[names].to_numpy()[mask]), t=rows["t"].to_numpy()[mask], id=ids[mask])
 
 
+def _counted(source: np.ndarray, residual: np.ndarray, use: np.ndarray, rules: SpikeRules) -> pd.DataFrame:
+    """(source, t, x): residuals' sizes counted (x) by bucket (t); a size of 0 has the lowest bucket."""
+    size = np.abs(residual)
+    use = use & ~np.isnan(size)
+    bucket = np.full(len(size), np.iinfo(np.int32).min, dtype=np.int64)
+    positive = use & (size > 0)
+    bucket[positive] = bucket_of(size[positive], rules.width)
+    counts = pd.DataFrame({"source": source[use], "t": bucket[use]}).value_counts().reset_index(name="x")
+    return counts.astype({"source": np.int64, "t": np.int64, "x": float})
+
+
 def _scan_edges(batches: Iterator[pd.DataFrame], rules: SpikeRules) -> Iterator[pd.DataFrame]:
-    """Judges the readings at partition edges, in order: (series, t, source, flagged, off)."""
+    """Judges the readings at partition edges, in order: (kind, series, t, source, flagged, x)."""
     parts = [b for b in batches if len(b)]
     if not parts:
         return
     rows = pd.concat(parts, ignore_index=True)
     keys = np.stack(rows["series"].to_numpy())
     series = np.cumsum(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-    flagged, off, _ = _judge(series, rows["v"].to_numpy(), rows["x"].to_numpy(), rows["bits"].to_numpy().astype(np.int64), rules)
-    keep = rows["decide"].to_numpy() & (flagged | (off > 0))
-    yield pd.DataFrame({"series": rows["series"][keep], "t": rows["t"][keep], "source": rows["source"][keep], "flagged": flagged[keep], "x": off[keep]})
+    flagged, off, residual = _judge(series, rows["v"].to_numpy(), rows["x"].to_numpy(), rows["bits"].to_numpy().astype(np.int64), rules)
+    decide, source = rows["decide"].to_numpy(), rows["source"].to_numpy()
+    keep = decide & (flagged | (off > 0))
+    yield pd.DataFrame({"kind": CANDIDATE, "series": pd.Series(rows["series"][keep].tolist(), dtype=object), "t": rows["t"][keep].to_numpy(), "source": source[keep], "flagged": flagged[keep], "x": off[keep]})
+    counts = _counted(source, residual, decide, rules)
+    yield pd.DataFrame({"kind": COUNT, "series": pd.Series([None] * len(counts), dtype=object), "t": counts["t"], "source": counts["source"], "flagged": False, "x": counts["x"]})
 
 
 def tail_cutoff(buckets: np.ndarray, counts: np.ndarray, rules: SpikeRules) -> tuple[float, float]:
     """(scatter, cutoff) from counted residual sizes: 1.4826 medians, and the size that a generalised
-    Pareto tail, fitted to the sizes between the 92nd and the 98th percentile, exceeds with
-    probability `risk`. The top 2 % are left out of the fit: that is where faults gather."""
+    Pareto tail, fitted to the sizes between the 84th and the 96th percentile, exceeds with
+    probability `risk`. The top 4 % are left out of the fit: that is where faults gather."""
     order = np.argsort(buckets)
     gamma = 1 + rules.width
     size = np.where(buckets[order] > -(2**31), 2 * gamma ** buckets[order].astype(float) / (gamma + 1), 0.0)
@@ -202,11 +213,11 @@ def tail_cutoff(buckets: np.ndarray, counts: np.ndarray, rules: SpikeRules) -> t
     scatter = 1.4826 * at(0.5)
     if scatter == 0:
         scatter = 1.2533 * float((size * counts[order]).sum() / total)
-    q1, q2, q3 = at(0.92), at(0.96), at(0.98)
+    q1, q2, q3 = at(0.84), at(0.92), at(0.96)
     shape = math.log2((q3 - q2) / (q2 - q1)) if q3 > q2 > q1 else 0.0
     shape = min(max(shape, rules.shape[0]), rules.shape[1])
     scale = (q3 - q1) / math.log(4) if abs(shape) < 1e-6 else (q3 - q1) * shape / (4**shape - 1)
-    reach = math.log(0.08 / rules.risk) if abs(shape) < 1e-6 else ((0.08 / rules.risk) ** shape - 1) / shape
+    reach = math.log(0.16 / rules.risk) if abs(shape) < 1e-6 else ((0.16 / rules.risk) ** shape - 1) / shape
     return scatter, q1 + max(scale, 0.0) * reach
 
 
@@ -257,11 +268,13 @@ def flag_implausible(
         scatter, cutoff = tail_cutoff(pdf["t"].to_numpy(), pdf["n"].to_numpy(), rules)
         return pd.DataFrame({"source": pdf["source"].iloc[:1], "cutoff": [max(rules.scatters * scatter, cutoff) if scatter > 0 else math.inf]})
 
-    counts = scanned.filter(F.col("kind") == COUNT).groupBy("source", "t").agg(F.sum("x").alias("n"))
-    cutoffs = counts.groupBy("source").applyInPandas(fit, "source long, cutoff double")
     # Edge readings: at most 2 * (2 * context + 1) for each partition of the shuffle.
     edges = scanned.filter(F.col("kind") == EDGE).select("series", "t", "source", "x", "v", "bits", "decide").distinct()
-    decided = edges.repartition(1).sortWithinPartitions("series", "t").mapInPandas(lambda it: _scan_edges(it, rules), "series array<long>, t long, source long, flagged boolean, x double")
+    judged = cut(edges.repartition(1).sortWithinPartitions("series", "t").mapInPandas(lambda it: _scan_edges(it, rules), "kind byte, series array<long>, t long, source long, flagged boolean, x double"))
+    decided = judged.filter(F.col("kind") == CANDIDATE)
+    counts = scanned.filter(F.col("kind") == COUNT).select("source", "t", "x").unionByName(judged.filter(F.col("kind") == COUNT).select("source", "t", "x"))
+    counts = counts.groupBy("source", "t").agg(F.sum("x").alias("n"))
+    cutoffs = counts.groupBy("source").applyInPandas(fit, "source long, cutoff double")
     edge_ids = scanned.filter(F.col("kind") == EDGE_ID).select("series", "t", "id")
     at_edges = decided.join(edge_ids, ["series", "t"])
     sure = scanned.filter(F.col("kind") == FLAGGED).select("id").unionByName(at_edges.filter("flagged").select("id"))
