@@ -32,7 +32,7 @@ class SpamRules:
     makes a group of short segments one of keywords, dense_long the same of a long segment; beside: share
     of keywords and links from which the weak ones count; least: share of all words of addresses and
     tags that a keyword has at least (so there are at most 1 / least); seen: times, or pages, it is seen
-    in at least; strong: times as frequent in addresses as in texts. Grown keywords: hint and kinds:
+    in at least; strong: times as frequent in addresses as on pages with few of their words. Grown keywords: hint and kinds:
     keyword share and number of different keywords of a page they are taken from, most of whose words
     must lie in segments of at most `short` words; pages: share of those pages that hold the word; lift:
     times as frequent there as elsewhere; only: share of its occurrences that lie there."""
@@ -64,6 +64,7 @@ MARKED = re.compile(r"^[|*•·»>-]*(?:#[^\W\d_]|tags?:\S)", re.I)
 #: The parts of a tag, or of the path of an address, if there are two or more.
 SLUG = re.compile(r"(?:\btags?:|[\w-]+(?:\.[\w-]+)+/)([^\W_]+(?:[-_+][^\W_]+)+)", re.I)
 PART = re.compile(r"[-_+]")
+SLUG_HINT = r"(?i)tags?:[^\s]|[.][a-z]+/[^\s]"
 # Where a line is cut besides its ends: signs between blanks, breaks, ends of sentences.
 CUT = re.compile(r"\s*<br\s*/?>\s*|\s[|»•·*>–-]+\s|\s*;\s+|(?<=[.!?])\s+|\s*[\r\n]+\s*")
 COMMA = re.compile(r"\s*,\s+")
@@ -133,22 +134,37 @@ def _frame(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w, n_all, n_slug): how often each word stands in the texts, and in their addresses and tags."""
+def _slug_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, n): the words that addresses and tags are made of; only texts that may hold some are cut into words."""
     for batch in batches:
-        words, codes, _ = _tokens(batch.column("t"))
-        often = np.bincount(codes, minlength=len(words)).tolist() if len(words) else []
-        everywhere: Counter[str] = Counter()
+        texts = batch.column("t")
+        some = texts.filter(pc.match_substring_regex(texts, SLUG_HINT))
         slugs: Counter[str] = Counter()
-        for w, n in zip(words, often):
-            if "/" in w or ":" in w:
-                for found in SLUG.findall(clean(w)):
-                    slugs.update({p: n for p in PART.split(found) if p.isalpha()})
-            bare = w.strip(STRIP)
-            if bare.isalpha():
-                everywhere[bare] += n
-        names = list(everywhere | slugs)
-        yield _frame({"w": (names, pa.string()), "n_all": ([everywhere[w] for w in names], pa.int64()), "n_slug": ([slugs[w] for w in names], pa.int64())})
+        if len(some):
+            words, codes, _ = _tokens(some)
+            for w, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
+                if "/" in w or ":" in w:
+                    for found in SLUG.findall(clean(w)):
+                        slugs.update({p: n for p in PART.split(found) if p.isalpha()})
+        yield _frame({"w": (list(slugs), pa.string()), "n": (list(slugs.values()), pa.int64())})
+
+
+def _ordinary_words(batches: Iterator[pa.RecordBatch], slugs: frozenset[str], rules: SpamRules) -> Iterator[pa.RecordBatch]:
+    """(w, n): how often words stand on pages with a small share of links and words of addresses."""
+    for batch in batches:
+        words, codes, first = _tokens(batch.column("t"))
+        counts: Counter[str] = Counter()
+        if len(codes):
+            class_ = np.fromiter((w.strip(STRIP) in slugs or is_link(w) for w in words), dtype=np.int64, count=len(words))
+            upto = np.r_[0, np.cumsum(class_[codes])]
+            size = np.diff(first)
+            ordinary = upto[first[1:]] - upto[first[:-1]] < rules.dense * size
+            often = np.bincount(codes[np.repeat(ordinary, size)], minlength=len(words))
+            for at in np.flatnonzero(often):
+                bare = words[at].strip(STRIP)
+                if bare.isalpha():
+                    counts[bare] += int(often[at])
+        yield _frame({"w": (list(counts), pa.string()), "n": (list(counts.values()), pa.int64())})
 
 
 def _likely(batch: pa.RecordBatch, keywords: Keywords, share: float) -> Iterator[tuple[int, str]]:
@@ -185,21 +201,27 @@ def corpus_keywords(docs: DataFrame, rules: SpamRules) -> Keywords:
     """The corpus's keywords; docs has a column t of whole texts. What is collected has a fixed share of
     what it is collected from, so there is only so much of it: 1 / least words of addresses, and words on a
     share `pages` of pages."""
-    counted = cut(docs.mapInArrow(_count_words, "w string, n_all long, n_slug long").groupBy("w").agg(F.sum("n_all").alias("n_all"), F.sum("n_slug").alias("n_slug")))
-    all_, slug = counted.agg(F.sum("n_all"), F.sum("n_slug")).first()
-    if not slug or not all_:
+    total = lambda df: df.groupBy("w").agg(F.sum("n").alias("n"))
+    slugs = cut(total(docs.mapInArrow(_slug_words, "w string, n long")))
+    n_slug = slugs.agg(F.sum("n")).first()[0]
+    if not n_slug:
         return Keywords()
-    rows = counted.filter((F.col("n_slug") >= F.lit(rules.least * slug)) & (F.col("n_slug") >= rules.seen)).collect()
-    strong = frozenset(r["w"] for r in rows if r["n_slug"] / slug >= rules.strong * r["n_all"] / all_)
-    found = Keywords(strong, frozenset(r["w"] for r in rows) - strong)
+    parts = {r["w"]: r["n"] for r in slugs.filter((F.col("n") >= F.lit(rules.least * n_slug)) & (F.col("n") >= rules.seen)).collect()}
+    known = frozenset(parts)
+    ordinary = cut(total(docs.mapInArrow(lambda it: _ordinary_words(it, known, rules), "w string, n long")))
+    n_all = (ordinary.agg(F.sum("n")).first()[0] or 0) + 1
+    there = {r["w"]: r["n"] for r in ordinary.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in parts] or [("",)], "w string")), "w").collect()}
+    strong = frozenset(w for w, n in parts.items() if n / n_slug >= rules.strong * there.get(w, 0) / n_all)
+    found = Keywords(strong, known - strong)
     if not strong:
         return found
     near = cut(docs.mapInArrow(lambda it: _grow(it, found, rules), "w string, n long, pages long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")))
-    total = {r["w"] == "": r for r in near.groupBy((F.col("w") == "").alias("whole")).agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"), F.min("w").alias("w")).collect()}
-    if True not in total or False not in total:
+    pages = near.filter("w = ''").agg(F.sum("pages")).first()[0]
+    n_near = near.agg(F.sum("n")).first()[0]
+    if not pages or not n_near:
         return found
-    often = near.filter((F.col("w") != "") & (F.col("pages") >= F.lit(rules.pages * total[True]["pages"])) & (F.col("pages") >= rules.seen)).join(counted, "w")
-    new = [r["w"] for r in often.collect() if r["n"] >= rules.only * r["n_all"] and r["n"] / total[False]["n"] >= rules.lift * r["n_all"] / all_]
+    often = near.filter((F.col("w") != "") & (F.col("pages") >= F.lit(rules.pages * pages)) & (F.col("pages") >= rules.seen)).join(ordinary.withColumnRenamed("n", "m"), "w", "left")
+    new = [r["w"] for r in often.fillna(0, ["m"]).collect() if r["n"] >= rules.only * (r["n"] + r["m"]) and r["n"] / n_near >= rules.lift * r["m"] / n_all]
     strong = strong | frozenset(new)
     return Keywords(strong, found.weak - strong)
 
@@ -219,7 +241,7 @@ def find_spam(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, keyword_share) of the documents more than rules.page of whose words are keywords, links or
     tags, or phrases made from them.
 
-    Whole texts are read three times: to count words, to grow the keywords, and for the verdict. What
+    Whole texts are read four times: for addresses, to count words, to grow the keywords, and for the verdict. What
     reaches the driver and the executors are keywords, whose number the rules bound. Null and empty
     texts, and texts without words, aren't flagged; null ids are passed over; of repeated ids the larger
     share is given. A corpus without addresses or tags has no keywords; its pages are judged by links

@@ -53,8 +53,9 @@ def plain(text: str) -> str:
         if b"-" in latin and (b"\n" in latin or b"\r" in latin):
             latin = BROKEN.sub("", text).encode("latin-1")
         return latin.translate(_LATIN).decode("ascii")
-    text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text))
-    text = unicodedata.normalize("NFKD", BROKEN.sub("", text).translate(LOOKALIKES)).lower()
+    text = BROKEN.sub("", INVISIBLE.sub("", text))
+    text = _MARK.sub("", unicodedata.normalize("NFKD", text)).translate(LOOKALIKES).lower()
+    # Lower case may bring marks anew.
     text = _MARK.sub("", text.replace("ß", "ss").replace("æ", "ae").replace("œ", "oe"))
     return text.encode("ascii", "replace").decode().replace("?", " ")
 
