@@ -10,9 +10,10 @@ DATA = os.environ.get("WARDGRID_TESTDATA", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from wardgrid.session import get_spark
+    from wardgrid.session import get_spark, ship_package
 
     session = get_spark("tests", 4)
+    ship_package(session)
     session.conf.set("spark.sql.shuffle.partitions", "5")
     yield session
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,29 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the shared checkpoint folder and forget its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python, once a session: as a zip in the shared checkpoint
+    folder, so that queries run wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wardgrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    ensure_checkpoint_dir(spark)
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir(), f"wardgrid-{uuid.uuid4().hex}.zip")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(packed.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target.toString())
+    sc._wardgrid_shipped = True
