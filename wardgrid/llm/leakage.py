@@ -16,12 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.llm.textnorm import WORD, letters, plain
+from wardgrid.llm.textnorm import doc_words, letters, plain, spaced_words
 
 
 @dataclass(frozen=True)
 class LeakRules:
-    """words: consecutive words of the item that must be covered; places: disturbed places allowed in
+    """words: consecutive words of the item, as blanks part them, that must be covered; places: disturbed places allowed in
     them; window: letters in a seed; stride: places between a document's windows; block: letters of
     items held in one table (about 100 bytes of memory a letter)."""
 
@@ -191,7 +191,7 @@ def leaks_in(text: str, table: SeedTable) -> list[tuple[int, int]]:
     item, place, there = table.seeds(data)
     if not len(item):
         return []
-    doc = WORD.findall(flat)
+    doc = doc_words(flat)
     starts = np.cumsum([0, *map(len, doc)])
     # The first whole word within each anchor's window, if it begins one in both.
     at = np.searchsorted(starts, there)
@@ -243,7 +243,7 @@ def _blocks(items: DataFrame, rules: LeakRules) -> Iterator[SeedTable]:
     """The items in tables of bounded size, read row by row."""
     ids, texts, size = [], [], 0
     for r in items.toLocalIterator():
-        ws = WORD.findall(plain(r["t"]))
+        ws = spaced_words(plain(r["t"]))
         if len(ws) < rules.words:
             continue
         if ids and size + sum(map(len, ws)) > rules.block:

@@ -38,7 +38,7 @@ class SpamRules:
     times as frequent there as elsewhere; only: share of its occurrences that lie there."""
 
     page: float = 0.5
-    dense: float = 0.3
+    dense: float = 0.2
     dense_long: float = 0.4
     beside: float = 0.15
     least: float = 1e-4
@@ -103,18 +103,19 @@ def shape(ws: list[str], links: int) -> tuple[int, int, int]:
 
 
 def keyword_share(text: str, keywords: Keywords, rules: SpamRules) -> float:
-    """The share of the text's words that lie in groups of keyword shapes."""
+    """The share of the text's words (runs of letters and digits) that lie in groups of keyword shapes."""
     groups: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
     total = 0
     for ws in segments(text):
-        links = sum(map(is_link, ws))
+        links = [is_link(w) for w in ws]
+        size = [len(RUN.findall(w)) if link else 1 for w, link in zip(ws, links)]
         plain = [w.lower().strip(STRIP) for w in ws]
         # A long segment stands for itself: it is too much text to be judged by the company it keeps.
-        group = groups[shape(ws, links) if len(ws) <= 8 else (len(groups), -1, -1)]
-        group[0] += len(ws)
-        group[1] += links + sum(map(keywords.strong.__contains__, plain))
-        group[2] += sum(map(keywords.weak.__contains__, plain))
-        total += len(ws)
+        group = groups[shape(ws, sum(links)) if len(ws) <= 8 else (len(groups), -1, -1)]
+        group[0] += sum(size)
+        group[1] += sum(n for n, link, w in zip(size, links, plain) if link or w in keywords.strong)
+        group[2] += sum(n for n, link, w in zip(size, links, plain) if not link and w in keywords.weak)
+        total += sum(size)
     bad = 0
     for at, (n, hits, weak) in groups.items():
         if hits >= rules.beside * n and hits + weak >= (rules.dense if at[1] >= 0 else rules.dense_long) * n:
@@ -122,6 +123,9 @@ def keyword_share(text: str, keywords: Keywords, rules: SpamRules) -> float:
     return bad / total if total else 0.0
 
 
+RUN = re.compile(r"[^\W_]+")
+
+
 def _tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(different words in lower case, number of each word in order, first word of each text)."""
     split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
@@ -158,7 +162,7 @@ def _ordinary_words(batches: Iterator[pa.RecordBatch], slugs: frozenset[str], ru
             class_ = np.fromiter((w.strip(STRIP) in slugs or is_link(w) for w in words), dtype=np.int64, count=len(words))
             upto = np.r_[0, np.cumsum(class_[codes])]
             size = np.diff(first)
-            ordinary = upto[first[1:]] - upto[first[:-1]] < rules.dense * size
+            ordinary = upto[first[1:]] - upto[first[:-1]] < 0.3 * size
             often = np.bincount(codes[np.repeat(ordinary, size)], minlength=len(words))
             for at in np.flatnonzero(often):
                 bare = words[at].strip(STRIP)
@@ -174,10 +178,12 @@ def _likely(batch: pa.RecordBatch, keywords: Keywords, share: float) -> Iterator
     if not len(codes):
         return
     good = keywords.strong | keywords.weak
-    class_ = np.fromiter((w.strip(STRIP) in good or is_link(w) or not w.isascii() and ODD.search(w) is not None for w in words), dtype=np.int64, count=len(words))
-    upto = np.r_[0, np.cumsum(class_[codes])]
+    links = np.fromiter((len(RUN.findall(w)) if is_link(w) else 0 for w in words), dtype=np.int64, count=len(words))
+    class_ = np.fromiter((w.strip(STRIP) in good or not w.isascii() and ODD.search(w) is not None for w in words), dtype=np.int64, count=len(words))
+    upto = np.r_[0, np.cumsum(np.maximum(links, class_)[codes])]
+    size = np.r_[0, np.cumsum(np.maximum(links, 1)[codes])]
     hits = upto[first[1:]] - upto[first[:-1]]
-    for at in np.flatnonzero((hits > 0) & (hits >= share * np.diff(first))):
+    for at in np.flatnonzero((hits > 0) & (hits >= share * (size[first[1:]] - size[first[:-1]]))):
         yield int(at), texts[int(at)].as_py()
 
 
@@ -229,8 +235,9 @@ def corpus_keywords(docs: DataFrame, rules: SpamRules) -> Keywords:
 def _judge(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRules) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, shares = [], []
-        # Groups of keyword shapes have `dense` of their words as keywords, and hold `page` of a flagged page's words.
-        for at, text in _likely(batch, keywords, min(rules.dense, rules.dense_long) * rules.page * 0.9):
+        # Groups of keyword shapes have `dense` of their words as keywords, and hold `page` of a flagged
+        # page's words. Signs between blanks count as words in this first look, so it is held lower.
+        for at, text in _likely(batch, keywords, min(rules.dense, rules.dense_long) * rules.page * 0.6):
             share = keyword_share(clean(text), keywords, rules)
             if share > rules.page:
                 ids.append(batch.column("d")[at].as_py()), shares.append(share)

@@ -17,6 +17,7 @@ INLINE_TAG = re.compile(r"</?(?:b|i|u|em|strong|span|a|mark|sup|sub|font|small|c
 TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>|<!--.{0,500}?-->", re.S)
 BROKEN = re.compile(r"(?<=[^\W\d_])[-‐-–][ \t ]*[\r\n]+\s*(?=[^\W\d_])")
 WORD = re.compile(r"[a-z0-9]+")
+NUMBER = re.compile(r"(?<=\d)[.,:/](?=\d)")
 
 
 def _latin_table() -> bytes:
@@ -65,6 +66,19 @@ def words(text: str) -> list[str]:
     return WORD.findall(plain(text))
 
 
+def doc_words(flat: str) -> list[str]:
+    """The words of a plain text, with a number such as 8.7 or 14:05 as one."""
+    return WORD.findall(NUMBER.sub("", flat))
+
+
+def spaced_words(flat: str) -> list[str]:
+    """The words of a plain text as blanks part them, without the marks inside them."""
+    return [w for w in (NOT_WORD.sub("", w) for w in flat.split()) if w]
+
+
+NOT_WORD = re.compile(r"[^a-z0-9]+")
+
+
 def letters(flat: str) -> bytes:
     """The letters and digits of a plain text, without anything between them."""
     return flat.encode("ascii").translate(None, _SEPARATORS)
