@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import HOUR_MS, UNKNOWN_TIME, add_ms, c, known_time
@@ -34,9 +34,11 @@ def anchored(events: DataFrame, anchors: DataFrame, keys: Sequence[str], times:
 
 
 def first_stay(admissions: DataFrame, person: str, order: Sequence[str]) -> DataFrame:
-    """Each person's first row by order; ties fall to the next column, so name a unique one last."""
-    w = Window.partitionBy(person).orderBy(*[F.asc_nulls_last(o) for o in order])
-    return admissions.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    """Each person's first row by order, nulls last; ties fall to the next column, so name a unique one last.
+    The least row is found by an aggregation, so a person with many rows is combined on the map side."""
+    key = [F.struct(c(o).isNull().alias("n"), c(o).alias("v")).alias(f"o{i}") for i, o in enumerate(order)]
+    least = F.min(F.struct(*key, F.struct(*[c(x) for x in admissions.columns]).alias("row")))
+    return admissions.groupBy(c(person).alias("__p")).agg(least.alias("x")).select("x.row.*")
 
 
 def synthetic_time(df: DataFrame, ms: str, base: Column, out: str) -> DataFrame:

@@ -256,13 +256,18 @@ def flag_implausible(
     season = means.join(overall, "source").select(F.col("source").alias("__s"), F.col("phase").alias("__p"), (F.col("m") - F.col("all")).alias("season"))
     rows = rows.withColumn("__ph", phase)
     # A row for each source of the catalogue and phase; beyond MAX_SEASON rows a shuffled join takes over.
-    small = means.count() <= MAX_SEASON
+    n_season, n_rows = means.agg(F.count("*"), F.sum("n")).first()
+    small = n_season <= MAX_SEASON
     rows = rows.join(F.broadcast(season) if small else season, (F.col("source") == F.col("__s")) & (F.col("__ph") == F.col("__p")), "left")
     names = [f"k{i}" for i in range(k)]
     rows = rows.select(*names, "source", "t", "v", (F.col("v") - F.coalesce("season", F.lit(0.0))).alias("x"), "id", "bits")
 
     order = [*names, "t"]
-    scanned = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order, "id").mapInPandas(lambda it: _scan(it, k, rules), OUT_SCHEMA))
+    # A partition is judged in memory, so there are as many as keep each small; with few rows Spark decides.
+    parts = -(-(n_rows or 0) // PARTITION_ROWS)
+    few = parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(*order) if few else rows.repartitionByRange(parts, *order)
+    scanned = cut(ranged.sortWithinPartitions(*order, "id").mapInPandas(lambda it: _scan(it, k, rules), OUT_SCHEMA))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         scatter, cutoff = tail_cutoff(pdf["t"].to_numpy(), pdf["n"].to_numpy(), rules)
@@ -285,3 +290,5 @@ def flag_implausible(
 
 #: Rows of the season table that may be broadcast (24 phases of 40,000 sources).
 MAX_SEASON = 1_000_000
+#: Rows of a partition that is judged at once, about 60 MB.
+PARTITION_ROWS = 500_000

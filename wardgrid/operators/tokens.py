@@ -38,9 +38,11 @@ def vocabulary(tokens: DataFrame, token: str = "token", unknown: str = UNKNOWN)
 
 
 def numbered(tokens: DataFrame, vocab: DataFrame, token: str = "token", unknown: str = UNKNOWN) -> DataFrame:
-    """Adds the token's id, that of the unknown token where it has none."""
-    unknown_id = vocab.filter(c(token) == unknown).agg(F.max("id").alias("__unk"))
-    return tokens.join(vocab.select(token, "id"), token, "left").crossJoin(F.broadcast(unknown_id)).withColumn("is_unknown", F.col("id").isNull()).withColumn("id", F.coalesce("id", "__unk")).drop("__unk")
+    """Adds the token's id, that of the unknown token where it has none, and whether it has none."""
+    joined = tokens.join(vocab.select(token, "id"), token, "left").withColumn("is_unknown", F.col("id").isNull())
+    spare = vocab.filter(c(token) == unknown).select(c(token).alias("__u"), F.col("id").alias("__unk"))  # one row
+    joined = joined.withColumn("__u", F.when(F.col("is_unknown"), F.lit(unknown))).join(F.broadcast(spare), "__u", "left")
+    return joined.withColumn("id", F.coalesce("id", "__unk")).drop("__u", "__unk")
 
 
 def timeline_index(tokens: DataFrame, group: Sequence[str], shard: Column | None = None) -> DataFrame:
