@@ -44,7 +44,7 @@ class SpamRules:
     least: float = 1e-4
     seen: int = 3
     strong: float = 5.0
-    hint: float = 0.05
+    hint: float = 0.08
     kinds: int = 3
     short: int = 6
     pages: float = 0.02
@@ -92,7 +92,12 @@ def segments(text: str) -> list[list[str]]:
 
 
 def is_link(word: str) -> bool:
-    return bool(ADDRESS.search(word) or MARKED.search(word))
+    """Whether the word is an address or a tag, or holds one."""
+    return not LINK_SIGNS.isdisjoint(word) and bool(ADDRESS.search(word) or MARKED.search(word))
+
+
+#: Signs of which every address or tag has one.
+LINK_SIGNS = frozenset("/.#:[]=")
 
 
 def shape(ws: list[str], links: int) -> tuple[int, int, int]:
@@ -171,20 +176,30 @@ def _ordinary_words(batches: Iterator[pa.RecordBatch], slugs: frozenset[str], ru
         yield _frame({"w": (list(counts), pa.string()), "n": (list(counts.values()), pa.int64())})
 
 
-def _likely(batch: pa.RecordBatch, keywords: Keywords, share: float) -> Iterator[tuple[int, str]]:
-    """The texts (place, text) whose words are keywords or links by at least the share, counted from above."""
+def _likely(batch: pa.RecordBatch, keywords: Keywords, firm: float, any_: float, kinds: int = 1) -> Iterator[tuple[int, str]]:
+    """The texts (place, text) that can have shares of `firm` strong keywords and links, and `any_` of all
+    keywords and links, among their words, and that many kinds of strong ones; the shares are exact but for
+    words with odd characters or marks inside, which count as keywords."""
     texts = batch.column("t")
     words, codes, first = _tokens(texts)
     if not len(codes):
         return
-    good = keywords.strong | keywords.weak
-    links = np.fromiter((len(RUN.findall(w)) if is_link(w) else 0 for w in words), dtype=np.int64, count=len(words))
-    class_ = np.fromiter((w.strip(STRIP) in good or not w.isascii() and ODD.search(w) is not None for w in words), dtype=np.int64, count=len(words))
-    upto = np.r_[0, np.cumsum(np.maximum(links, class_)[codes])]
-    size = np.r_[0, np.cumsum(np.maximum(links, 1)[codes])]
-    hits = upto[first[1:]] - upto[first[:-1]]
-    for at in np.flatnonzero((hits > 0) & (hits >= share * (size[first[1:]] - size[first[:-1]]))):
-        yield int(at), texts[int(at)].as_py()
+    size, strong, weak = (np.zeros(len(words), dtype=np.int64) for _ in range(3))
+    for i, w in enumerate(words):
+        if is_link(w):
+            size[i] = strong[i] = len(RUN.findall(w))
+            continue
+        bare = w.strip(STRIP)
+        size[i] = any(map(str.isalnum, w))
+        if bare in keywords.strong or "<br" in w or not w.isascii() and ODD.search(w):
+            strong[i] = 1
+        elif bare in keywords.weak:
+            weak[i] = 1
+    along = lambda x: np.diff(np.r_[0, np.cumsum(x[codes])][first])
+    n, hits, more = along(size), along(strong), along(weak)
+    for at in np.flatnonzero((hits > 0) & (hits >= firm * n) & (hits + more >= any_ * n)):
+        if kinds == 1 or len({c for c in codes[first[at] : first[at + 1]].tolist() if strong[c]}) >= kinds:
+            yield int(at), texts[int(at)].as_py()
 
 
 def _grow(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRules) -> Iterator[pa.RecordBatch]:
@@ -192,11 +207,11 @@ def _grow(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRule
     for batch in batches:
         counts: Counter[str] = Counter()
         pages: Counter[str] = Counter()
-        for _, text in _likely(batch, keywords, rules.hint):
+        for _, text in _likely(batch, keywords, rules.hint, rules.hint, rules.kinds):
             pieces = [[w.lower().strip(STRIP) for w in ws if not is_link(w)] for ws in segments(clean(text))]
             short = [w for ws in pieces if len(ws) <= rules.short for w in ws]
             hits = [w for w in short if w in keywords.strong]
-            if len(short) * 2 > sum(map(len, pieces)) and len(hits) >= rules.hint * len(short) and len(set(hits)) >= rules.kinds:
+            if len(short) * 2 > sum(map(len, pieces)) and len(set(hits)) >= rules.kinds:
                 counts.update(w for w in short if w.isalpha())
                 pages.update({w for w in short if w.isalpha()} | {""})
         names = list(pages)
@@ -235,9 +250,8 @@ def corpus_keywords(docs: DataFrame, rules: SpamRules) -> Keywords:
 def _judge(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRules) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, shares = [], []
-        # Groups of keyword shapes have `dense` of their words as keywords, and hold `page` of a flagged
-        # page's words. Signs between blanks count as words in this first look, so it is held lower.
-        for at, text in _likely(batch, keywords, min(rules.dense, rules.dense_long) * rules.page * 0.6):
+        # Groups of keyword shapes hold `page` of a flagged page's words, and have these shares of keywords.
+        for at, text in _likely(batch, keywords, rules.beside * rules.page, min(rules.dense, rules.dense_long) * rules.page):
             share = keyword_share(clean(text), keywords, rules)
             if share > rules.page:
                 ids.append(batch.column("d")[at].as_py()), shares.append(share)
