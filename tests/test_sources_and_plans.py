@@ -161,3 +161,44 @@ def test_stream_without_repeats(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("once").count() == 2
+
+
+def test_insert_statements_and_evidence(spark):
+    from wardgrid.sources.evidence import evidence, insert_statements
+
+    lines = spark.createDataFrame([("INSERT INTO m VALUES (12, 'it''s, a label', NULL), (13,'b','x');",), ("-- nothing (1, 2, 3)",), (None,)], "t string")
+    got = insert_statements(lines, "t", 3)
+    assert rows(got) == [("12", "it's, a label", None), ("13", "b", "x")]
+    long = evidence({"sql": (got, {"code": "c0", "label": "c1", "target": "c2"}), "map": (spark.createDataFrame([("12.0", "y"), (None, "z"), ("12.0", "y")], "code string, target string"), {"code": "code", "target": "target"})})
+    assert rows(long, "source", "code", "label", "target") == [("map", "12", None, "y"), ("sql", "13", "b", "x")]
+
+
+def test_audits_name_all_broken_rules(spark):
+    from wardgrid.plans import audits
+
+    good = spark.createDataFrame([(1, h, "train", 0.5, 1, 1, 0) for h in range(3)], "admissionid long, hour long, split string, pulse double, pulse__observed int, a int, b int")
+    audits.check(audits.audit_grid(good, ["pulse"], [["a", "b"]]))
+    bad = good.unionByName(spark.createDataFrame([(1, 2, "val", float("inf"), 2, 1, 1), (1, 9, None, None, 0, 0, 0)], good.schema))
+    with pytest.raises(audits.AuditFailed) as e:
+        audits.check(audits.audit_grid(bad, ["pulse"], [["a", "b"]]))
+    for rule in ("a ... not exclusive: 2", "holes in hours: 1", "no split: 1", "pulse mask: 1", "pulse not finite: 1", "repeated keys: 1", "several splits: 1"):
+        assert rule in str(e.value)
+    tokens = spark.createDataFrame([(1, 0, "A", 0, 5), (1, 1, "Q3", 1, 4), (1, 3, "TIMELINE_END", 9, 6), (2, 0, "Q1", 1, 1), (2, 1, "Q2", 1, 1)], "admissionid long, seq long, token string, id long, time long")
+    got = dict(rows(audits.audit_tokens(tokens, 5)))
+    assert got == {"id out of range": 1, "place": 1, "time goes back": 1, "quantile without code": 2, "end not last": 0, "no end": 1}
+    a, b = spark.createDataFrame([(1, 2), (1, 3), (2, 4)], "k long, v long"), spark.createDataFrame([(1, 3), (1, 2), (2, 5)], "k long, v long")
+    assert rows(audits.audit_preserved(a, b, ["v"], ["k"])) == [(2, 1, 1)]
+
+
+def test_command_line(spark, data, tmp_path):
+    from wardgrid.__main__ import main
+
+    main(["grid", "--input", data, "--output", str(tmp_path / "g")])
+    assert spark.read.parquet(str(tmp_path / "g" / "data")).count() > 0
+    with pytest.raises(FileExistsError):
+        main(["grid", "--input", data, "--output", str(tmp_path / "g")])
+    main(["tokens", "--input", data, "--output", str(tmp_path / "t")])
+    index = spark.read.parquet(str(tmp_path / "t" / "index"))
+    assert index.agg(F.sum("n")).first()[0] == spark.read.parquet(str(tmp_path / "t" / "tokens")).agg(F.sum("n")).first()[0]
+    main(["query", "p1_found", "--input", data, "--output", str(tmp_path / "q")])
+    assert spark.read.parquet(str(tmp_path / "q" / "data")).columns == ["admissionid", "gapstart", "gapstop"]

@@ -1,6 +1,6 @@
 """The registry of queries and their SQL oracles."""
 
-from wardgrid.queries import aggregates, pipelines, problems, problems_sql, registry, scans, timelines  # noqa: F401
+from wardgrid.queries import aggregates, more, pipelines, problems, problems_sql, registry, scans, timelines  # noqa: F401
 
 QUERIES = {**problems.QUERIES, **registry.QUERIES}
 ORACLES: dict[str, str] = {**problems_sql.ORACLES, **registry.ORACLES}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wardgrid.functions import columns as x
 from wardgrid.operators import audits, cohort, events, fit, grid, quality
 from wardgrid.queries.registry import query
-from wardgrid.queries.scans import NUMBERS, STAYS, numbers, stays
+from wardgrid.queries.scans import NUMBERS, STAYS, numbers, stays, training
 from wardgrid.sources.tables import table
 
 HOUR = "cast(floor(admission_relative_ms / 3600000.0) as bigint)"
@@ -25,9 +25,9 @@ def op_82_mode_with_ties(s, d):
     return grid.hourly(e, ["admissionid", "itemid"], "ms", {"label": F.mode("value", True)}, width=24 * x.HOUR_MS)
 
 
-@query(f"with {NUMBERS} select admissionid, itemid, {HOUR} as hour, round(avg(value), 6) as value, count(*) as n from numbers where admission_relative_ms >= 0 and itemid in (42028, 42029) group by all")
+@query(f"with {NUMBERS} select admissionid, itemid, {HOUR} as hour, round(avg(value), 6) as value, count(*) as n from numbers where admission_relative_ms >= 0 group by all")
 def op_83_mean_per_hour(s, d):
-    return grid.hourly(numbers(s, d).filter("itemid in (42028, 42029)"), ["admissionid", "itemid"], "admission_relative_ms", {"value": F.round(F.avg("value"), 6), "n": F.count("*")})
+    return grid.hourly(numbers(s, d), ["admissionid", "itemid"], "admission_relative_ms", {"value": F.round(F.avg("value"), 6), "n": F.count("*")})
 
 
 _DRUG_MS = f"e as (select g.admissionid, g.itemid, g.rate, g.start - s.admittedat a, g.stop - s.admittedat b, s.dischargedat - s.admittedat z from drugitems g join stays s using (admissionid) where start <> -1899 and stop <> -1899)"
@@ -68,10 +68,10 @@ def op_103_hours_within_stay(s, d):
     return grid.covered_hours(_drug_ms(s, d), ["admissionid", "itemid"], "a", "b", clip="z").distinct()
 
 
-@query("""with e as (select admissionid, itemid, value, cast(floor(admission_relative_ms / 3600000.0) as bigint) w, admission_relative_ms ms, unit from numericitems where admission_relative_ms is not null and value is not null and not isnan(value) and itemid in (41011, 41015))
+@query("""with e as (select admissionid, itemid, value, cast(floor(admission_relative_ms / 3600000.0) as bigint) w, admission_relative_ms ms, unit from numericitems where admission_relative_ms is not null and value is not null and not isnan(value))
 select admissionid, itemid, (w + 1) * 3600000 as admission_relative_ms, round(avg(value), 6) as value, count(*) as raw_rows_in_bin, (list(unit order by ms, unit) filter (unit is not null))[1] as unit, 'causal_mean' as binning_method from e group by admissionid, itemid, w""")
 def op_85_causal_means(s, d):
-    return grid.causal_means(numbers(s, d).filter("itemid in (41011, 41015)"), ["admissionid", "itemid"], "admission_relative_ms", "value", first=["unit"]).withColumn("value", F.round("value", 6))
+    return grid.causal_means(numbers(s, d), ["admissionid", "itemid"], "admission_relative_ms", "value", first=["unit"]).withColumn("value", F.round("value", 6))
 
 
 _FREQ = "f as (select admissionid, itemid, 1.0 / avg(g) as frequency from (select admissionid, itemid, t - lag(t) over (partition by admissionid, itemid order by t) g from (select admissionid, itemid, admission_relative_ms t from numericitems where admission_relative_ms is not null)) where g > 0 group by all)"
@@ -88,12 +88,12 @@ def op_87_normal_interval(s, d):
     return fit.confidence(f, "itemid", "v", 1.96).select("itemid", "n", *[F.round(k, 6).alias(k) for k in ("mean", "sd", "low", "high")])
 
 
-_TRAIN = f"{NUMBERS}, t as (select itemid, unit, value + 0.0 as value from numbers where admissionid % 10 < 7)"
+_TRAIN = f"{NUMBERS}, t as (select itemid, unit, value + 0.0 as value from numbers where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')))"
 _Q = ", ".join(f"list_extract(v, ((len(v) - 1) * {2 * i} + 10) // 20 + 1) as q{i}" for i in range(1, 10))
 
 
 def _train(s, d):
-    return numbers(s, d).filter("admissionid % 10 < 7").select("itemid", "unit", "value")
+    return training(numbers(s, d), s, d).select("itemid", "unit", "value")
 
 
 @query(f"with {_TRAIN}, l as (select itemid, unit, list(value order by value) v from t group by all) select itemid, unit, len(v) as n, {_Q} from l")
@@ -278,9 +278,9 @@ def op_113_collapse(s, d):
     return rows.groupBy("admissionid", "score").agg(F.count("*").alias("n"))
 
 
-@query(f"with {NUMBERS}, p as (select itemid, quantile_cont(value, [0.01, 0.99]) q from numbers group by 1) select admissionid, itemid, hour, round(avg(least(greatest(value, q[1]), q[2])), 6) as v from (select *, {HOUR} as hour from numbers where itemid in (41011, 42021) and admission_relative_ms >= 0) join p using (itemid) group by all")
+@query(f"with {NUMBERS}, p as (select itemid, quantile_cont(value, [0.01, 0.99]) q from numbers group by 1) select admissionid, itemid, hour, round(avg(least(greatest(value, q[1]), q[2])), 6) as v from (select *, {HOUR} as hour from numbers where admission_relative_ms >= 0) join p using (itemid) group by all")
 def op_116_clipped_matrix(s, d):
     rows = numbers(s, d)
     p = rows.groupBy("itemid").agg(F.percentile("value", F.array(F.lit(0.01), F.lit(0.99))).alias("q"))
-    clipped = rows.filter("itemid in (41011, 42021)").join(p, "itemid").withColumn("value", F.least(F.greatest("value", F.col("q")[0]), F.col("q")[1]))
+    clipped = rows.join(p, "itemid").withColumn("value", F.least(F.greatest("value", F.col("q")[0]), F.col("q")[1]))
     return grid.hourly(clipped, ["admissionid", "itemid"], "admission_relative_ms", {"v": F.round(F.avg("value"), 6)})

@@ -23,6 +23,11 @@ def numbers(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "numericitems").filter("value is not null and not isnan(value)")
 
 
+def training(df: DataFrame, s: SparkSession, d: str) -> DataFrame:
+    """df's rows of stays that the table of stays puts into training."""
+    return lookups.only(df, table(s, d, "admissions").filter(F.lower(F.trim("split")).isin("train", "training")), ["admissionid"])
+
+
 @query("""select admissionid, itemid, try_cast(weightgroup as bigint) as weight_number, try_cast(substr(agegroup, 1, 2) as bigint) as age_low, try_cast(cast(urgency as varchar) as double) as urgency_number
 from (select a.*, 0 as itemid from admissions a)""")
 def op_03_permissive_cast(s, d):
@@ -296,14 +301,14 @@ def op_74_static_attributes(s, d):
     return table(s, d, "listitems").groupBy("admissionid").agg(F.count("*").alias("n_rows")).join(a, "admissionid").select("admissionid", "n_rows", "gender", "agegroup")
 
 
-@query("""with m as (select admissionid, max(case when admissionid % 10 < 7 then 'train' when admissionid % 10 < 9 then 'val' else 'test' end) split from admissions group by 1)
+@query("""with m as (select admissionid, max(case when urgency = 1 then 'train' when urgency = 0 then 'val' else 'test' end) split from admissions group by 1)
 select admissionid, m.split, count(*) as n from admissions join m using (admissionid) group by all""")
 def op_75_split_manifest(s, d):
     from wardgrid.operators.splits import attached
 
     a = table(s, d, "admissions")
-    r = F.col("admissionid") % 10
-    manifest = a.select("admissionid").distinct().withColumn("split", F.when(r < 7, "train").when(r < 9, "val").otherwise("test"))
+    u = F.col("urgency")
+    manifest = a.groupBy("admissionid").agg(F.max(F.when(u == 1, "train").when(u == 0, "val").otherwise("test")).alias("split"))
     return attached(a, manifest, "admissionid").groupBy("admissionid", "split").agg(F.count("*").alias("n"))
 
 

@@ -8,7 +8,7 @@ from wardgrid.functions import columns as x
 from wardgrid.operators import audits, events, fit, grid, joint, lookups, quality, splits, tokens
 from wardgrid.queries.aggregates import _GRID_SQL, HOUR, TAGS, hour_grid
 from wardgrid.queries.registry import query
-from wardgrid.queries.scans import NUMBERS, STAYS, numbers, stays
+from wardgrid.queries.scans import NUMBERS, STAYS, numbers, stays, training
 from wardgrid.sources.tables import table
 
 # Splits and samples
@@ -38,9 +38,9 @@ def op_123_largest_remainder_split(s, d):
     return splits.largest_remainder_split(table(s, d, "admissions"), "admissionid", {"train": 0.7, "val": 0.15, "test": 0.15}, 7)
 
 
-@query("select admissionid, split, cast((dense_rank() over (partition by split order by admissionid) - 1) // 10 as bigint) as shard from (select distinct admissionid, case when admissionid % 10 < 7 then 'train' else 'test' end as split from admissions)")
+@query("select admissionid, split, cast((dense_rank() over (partition by split order by admissionid) - 1) // 10 as bigint) as shard from (select distinct admissionid, case when lower(trim(split)) in ('train', 'training') then 'train' else 'test' end as split from admissions)")
 def op_27_shards(s, d):
-    units = table(s, d, "admissions").select("admissionid", F.when(F.col("admissionid") % 10 < 7, "train").otherwise("test").alias("split"))
+    units = table(s, d, "admissions").select("admissionid", F.when(F.lower(F.trim("split")).isin("train", "training"), "train").otherwise("test").alias("split"))
     return splits.sharded(units, "admissionid", 10)
 
 
@@ -92,17 +92,16 @@ def op_131_code_union(s, d):
 # Scalar functions
 
 
-@query("select numericid, cast(floor(admission_relative_ms / 3600000.0) as bigint) as hour, cast(floor(admission_relative_ms / 86400000.0) as bigint) as day from numericitems where admission_relative_ms < 7200000")
+@query("select numericid, cast(floor(admission_relative_ms / 3600000.0) as bigint) as hour, cast(floor(admission_relative_ms / 86400000.0) as bigint) as day from numericitems")
 def op_134_floor_bucket(s, d):
     ms = F.col("admission_relative_ms")
-    return table(s, d, "numericitems").filter("admission_relative_ms < 7200000").select("numericid", x.bucket(ms).alias("hour"), x.bucket(ms, 24 * x.HOUR_MS).alias("day"))
+    return table(s, d, "numericitems").select("numericid", x.bucket(ms).alias("hour"), x.bucket(ms, 24 * x.HOUR_MS).alias("day"))
 
 
-@query("select numericid, cast(ceil(value) as bigint) as up, cast(floor(value) as bigint) as down, round(value, 1) as near from numericitems where itemid = 42028 and abs(value) < 1000 and value * 100 = round(value * 100) and (round(value * 100)::bigint % 10) <> 5 and (round(value * 100)::bigint % 10) <> -5")
+@query("select numericid, cast(ceil(value) as bigint) as up, cast(floor(value) as bigint) as down, cast(round(value) as bigint) as near from numericitems where abs(value) < 9e18 and not isnan(value)")
 def op_135_rounding(s, d):
     v = F.col("value")
-    rows = numbers(s, d).filter("itemid = 42028 and abs(value) < 1000 and value * 100 = round(value * 100) and abs(cast(round(value * 100) as bigint) % 10) <> 5")
-    return rows.select("numericid", F.ceil(v).cast("long").alias("up"), F.floor(v).cast("long").alias("down"), F.round(v, 1).alias("near"))
+    return numbers(s, d).filter("abs(value) < 9e18").select("numericid", F.ceil(v).cast("long").alias("up"), F.floor(v).cast("long").alias("down"), F.round(v).cast("long").alias("near"))
 
 
 _RULES = [(42025, False, 999.0, False, 18.0, None, 20.0, 600.0), (43041, False, None, True, None, None, 20.0, 100.0), (42021, False, 0.0, False, 1.8, 32.0, None, None), (46096, True, None, False, None, None, None, None), (41011, False, None, False, None, None, 20.0, 250.0)]
@@ -122,10 +121,10 @@ def op_137_fraction_percent(s, d):
     return numbers(s, d).filter("itemid = 43041").select("numericid", x.fraction_to_percent(F.col("value")).alias("percent"))
 
 
-@query("""select admissionid, orderid, itemid, start, round(case when itemid % 4 = 0 then rate when duration > 0 then dose / duration * case itemid % 4 when 1 then 1 when 2 then 60 else 1000 end end * case when itemid % 2 = 0 then 0.5 else 1.0 end, 6) as rate from drugitems""")
+@query("""select admissionid, orderid, itemid, start, round(case when iscontinuous = 1 and isadditive = 0 then rate when duration > 0 then dose / duration * case when iscontinuous = 1 then 1 when isadditive = 0 then 60 else 1000 end end * case when isconditional = 1 then 0.5 else 1.0 end, 6) as rate from drugitems""")
 def op_138_rate_formulas(s, d):
-    r = F.col("itemid") % 4
-    rows = table(s, d, "drugitems").withColumns({"formula": F.when(r == 0, "raw").when(r == 1, "per_minute").when(r == 2, "per_hour").otherwise("milli_per_minute"), "factor": F.when(F.col("itemid") % 2 == 0, 0.5).otherwise(F.lit(None))})
+    steady, added = F.col("iscontinuous") == 1, F.col("isadditive") == 0
+    rows = table(s, d, "drugitems").withColumns({"formula": F.when(steady & added, "raw").when(steady, "per_minute").when(added, "per_hour").otherwise("milli_per_minute"), "factor": F.when(F.col("isconditional") == 1, 0.5).otherwise(F.lit(None))})
     out = quality.rated(rows, "rate", "dose", "duration", "formula", "factor", "made")
     return out.select("admissionid", "orderid", "itemid", "start", F.round("made", 6).alias("rate"))
 
@@ -144,30 +143,30 @@ def op_140_guarded_ratio(s, d):
     return hour_grid(s, d).select("admissionid", "hour", F.round(x.ratio(F.col("pulse"), F.col("pressure")), 6).alias("shock_index"))
 
 
-@query("select numericid, round(ln(1 + value), 6) as log_value, round(sign(value) * ln(1 + abs(value)), 6) as signed_log from numericitems where value is not null and not isnan(value) and value >= 0 and itemid = 44071")
+@query("select numericid, round(ln(1 + value), 6) as log_value, round(sign(value) * ln(1 + abs(value)), 6) as signed_log from numericitems where value is not null and not isnan(value) and value >= 0")
 def op_141_logs(s, d):
     v = F.col("value")
-    return numbers(s, d).filter("value >= 0 and itemid = 44071").select("numericid", F.round(F.log1p(v), 6).alias("log_value"), F.round(x.signed_log1p(v), 6).alias("signed_log"))
+    return numbers(s, d).filter("value >= 0").select("numericid", F.round(F.log1p(v), 6).alias("log_value"), F.round(x.signed_log1p(v), 6).alias("signed_log"))
 
 
-@query(f"""with {NUMBERS}, m as (select itemid, avg(value) mean, stddev_pop(value) std, count(*) n from numbers where admissionid % 10 < 7 and not isinf(value) group by 1)
+@query(f"""with {NUMBERS}, m as (select itemid, avg(value) mean, stddev_pop(value) std, count(*) n from numbers where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) and not isinf(value) group by 1)
 select numericid, round(case when n is null or n < 10 then value else (value - mean) / case when std > 0 then std else 1.0 end end, 6) as z from numbers left join m using (itemid)""")
 def op_142_zscores(s, d):
     rows = numbers(s, d)
-    m = fit.fit_moments(rows.filter("admissionid % 10 < 7"), "itemid", "value")
+    m = fit.fit_moments(training(rows, s, d), "itemid", "value")
     return fit.scaled(rows.select("numericid", "itemid", "value"), m, "itemid", "value", "z").select("numericid", F.round("z", 6).alias("z"))
 
 
 _KNOTS = 11
 
 
-@query(f"""with t as (select itemid, quantile_cont(rate, [{', '.join(str(i / (_KNOTS - 1)) for i in range(_KNOTS))}]) k from drugitems where rate > 0 and admissionid % 10 < 7 group by 1),
+@query(f"""with t as (select itemid, quantile_cont(rate, [{', '.join(str(i / (_KNOTS - 1)) for i in range(_KNOTS))}]) k from drugitems where rate > 0 and admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by 1),
 j as (select admissionid, orderid, start, rate, k, len(list_filter(k, lambda e: e <= rate)) as n from drugitems join t using (itemid))
-select admissionid, orderid, start, round(case when rate is null then null when rate <= 0 or n = 0 then 0.0 when n > {_KNOTS - 1} then 1.0 else (n - 1 + case when k[n + 1] > k[n] then (rate - k[n]) / (k[n + 1] - k[n]) else 0.0 end) / {_KNOTS - 1} end, 6) as place from j""")
+select admissionid, orderid, start, round(case when rate is null then null when rate <= 0 or n = 0 then 0.0 when n > {_KNOTS - 1} then 1.0 else (n - 1 + case when k[n + 1] > k[n] then (rate - k[n]) / (k[n + 1] - k[n]) else 0.0 end) / {_KNOTS - 1} end, 5) as place from j""")
 def op_143_rank_transform(s, d):
     g = table(s, d, "drugitems")
-    ranks = fit.fit_ranks(g.filter("admissionid % 10 < 7"), "itemid", "rate", _KNOTS)
-    return fit.ranked(g, ranks, "itemid", "rate", "place").join(ranks.select("itemid"), "itemid", "left_semi").select("admissionid", "orderid", "start", F.round("place", 6).alias("place"))
+    ranks = fit.fit_ranks(training(g, s, d), "itemid", "rate", _KNOTS)
+    return fit.ranked(g, ranks, "itemid", "rate", "place").join(ranks.select("itemid"), "itemid", "left_semi").select("admissionid", "orderid", "start", F.round("place", 5).alias("place"))
 
 
 @query("select admissionid, case max(agegroup) when '18-39' then 30 when '40-49' then 45 when '50-59' then 55 when '60-69' then 65 when '70-79' then 75 when '80+' then 85 end as age, case max(gender) when 'Man' then 1 when 'Vrouw' then 0 end as male from admissions group by 1")
@@ -268,18 +267,18 @@ def op_39_parent_codes(s, d):
     return both.select("code", F.array_join(x.parent_codes(F.col("code")), " ").alias("parents"))
 
 
-_VOCAB = "v as (select token, cast(row_number() over (order by token) - 1 as bigint) as id, n from (select token, sum(n)::bigint n from (select token, count(*) n from x where admissionid % 10 < 7 group by 1 union all select 'UNK', 0) group by 1))"
+_VOCAB = "v as (select token, cast(row_number() over (order by token) - 1 as bigint) as id, n from (select token, sum(n)::bigint n from (select token, count(*) n from x where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by 1 union all select 'UNK', 0) group by 1))"
 
 
 @query(f"with {_EXPANDED}, {_VOCAB} select token, id, n from v")
 def op_38_vocabulary(s, d):
-    return tokens.vocabulary(tokens.expanded(coded_events(s, d), ["admissionid"], "t", "code").filter("admissionid % 10 < 7"))
+    return tokens.vocabulary(training(tokens.expanded(coded_events(s, d), ["admissionid"], "t", "code"), s, d))
 
 
 @query(f"with {_EXPANDED}, {_VOCAB} select admissionid, seq, x.token, coalesce(v.id, (select id from v where token = 'UNK')) as id, v.id is null as is_unknown from x left join v using (token)")
 def op_186_token_ids(s, d):
     t = tokens.expanded(coded_events(s, d), ["admissionid"], "t", "code")
-    return tokens.numbered(t, tokens.vocabulary(t.filter("admissionid % 10 < 7"))).select("admissionid", "seq", "token", "id", "is_unknown")
+    return tokens.numbered(t, tokens.vocabulary(training(t, s, d))).select("admissionid", "seq", "token", "id", "is_unknown")
 
 
 @query(f"with {_EXPANDED}, z as (select admissionid, count(*) n, admissionid % 4 as shard from x group by 1) select admissionid, shard, n, cast(sum(n) over (partition by shard order by admissionid rows unbounded preceding) - n as bigint) as first from z")
@@ -291,37 +290,37 @@ def op_37_timeline_index(s, d):
 # Fitted and applied
 
 
-@query(f"""with {NUMBERS}, l as (select itemid, unit, list(value order by value) v from numbers where admissionid % 10 < 7 group by all),
+@query(f"""with {NUMBERS}, l as (select itemid, unit, list(value order by value) v from numbers where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by all),
 b as (select itemid, unit, list_transform(range(1, 10), lambda i: v[((len(v) - 1) * 2 * i + 10) // 20 + 1]) q from l)
 select numericid, n.itemid, cast(1 + len(list_filter(q, lambda e: value > e)) as integer) as bin from numbers n join b on n.itemid = b.itemid and n.unit is not distinct from b.unit""")
 def op_168_quantile_codes(s, d):
     rows = numbers(s, d).select("numericid", "itemid", "unit", "value", "admissionid")
-    bounds = fit.fit_quantiles(rows.filter("admissionid % 10 < 7"), ["itemid", "unit"], "value")
+    bounds = fit.fit_quantiles(training(rows, s, d), ["itemid", "unit"], "value")
     return fit.coded(rows, bounds, ["itemid", "unit"], "value", "bin").select("numericid", "itemid", "bin")
 
 
-@query(f"""with {_GRID_SQL}, u as (unpivot g on pulse, pressure, warmth into name tag value v), m as (select tag, avg(v) mean, stddev_pop(v) std, count(*) n from u where admissionid % 10 < 7 group by 1)
+@query(f"""with {_GRID_SQL}, u as (unpivot g on pulse, pressure, warmth into name tag value v), m as (select tag, avg(v) mean, stddev_pop(v) std, count(*) n from u where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by 1)
 select admissionid, hour, tag, round((v - mean) / case when std > 0 then std else 1.0 end, 6) as z from u join m using (tag)""")
 def op_162_scaled_grid(s, d):
     g = hour_grid(s, d)
     long = g.unpivot(["admissionid", "hour"], list(TAGS.values()), "tag", "v").filter("v is not null")
-    m = fit.fit_moments(long.filter("admissionid % 10 < 7"), "tag", "v")
+    m = fit.fit_moments(training(long, s, d), "tag", "v")
     return fit.scaled(long, m, "tag", "v", "z").select("admissionid", "hour", "tag", F.round("z", 6).alias("z"))
 
 
-@query(f"""with {NUMBERS}, a as (select case when admissionid % 3 = 0 then 'x' else 'y' end c, itemid, avg(value) mean, stddev_pop(value) std from numbers group by all),
-k as (select case when admissionid % 3 = 0 then 'x' else 'y' end c, sqrt(count(distinct admissionid)) w from numbers group by 1), p as (select itemid, sum(w * mean) / sum(w) mean, sum(w * (std * std + mean * mean)) / sum(w) q from a join k using (c) group by 1)
-select itemid, round(mean, 4) as mean, round(sqrt(greatest(q - mean * mean, 0)), 3) as std from p where itemid in (41011, 41013, 42021, 43043)""")
+@query(f"""with {NUMBERS}, a as (select case when admissionid in (select admissionid from admissions where urgency = 1) then 'x' else 'y' end c, itemid, avg(value) mean, stddev_pop(value) std from numbers group by all),
+k as (select case when admissionid in (select admissionid from admissions where urgency = 1) then 'x' else 'y' end c, sqrt(count(distinct admissionid)) w from numbers group by 1), p as (select itemid, sum(w * mean) / sum(w) mean, sum(w * (std * std + mean * mean)) / sum(w) q from a join k using (c) group by 1)
+select itemid, round(mean, 4) as mean, round(sqrt(greatest(q - mean * mean, 0)), 3) as std from p""")
 def op_165_pooled_moments(s, d):
-    rows = numbers(s, d).withColumn("c", F.when(F.col("admissionid") % 3 == 0, "x").otherwise("y"))
+    rows = numbers(s, d).join(table(s, d, "admissions").filter("urgency = 1").select("admissionid", F.lit("x").alias("c")).distinct(), "admissionid", "left").fillna("y", ["c"])
     n = rows.groupBy("c").agg(F.sqrt(F.countDistinct("admissionid")).alias("w"))
     parts = rows.groupBy("c", "itemid").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")).join(n, "c")
-    return fit.pooled_moments(parts, "itemid", "w").filter("itemid in (41011, 41013, 42021, 43043)").select("itemid", F.round("mean", 4).alias("mean"), F.round("std", 3).alias("std"))
+    return fit.pooled_moments(parts, "itemid", "w").select("itemid", F.round("mean", 4).alias("mean"), F.round("std", 3).alias("std"))
 
 
-@query("with r as (select itemid, rate, case when admissionid % 3 = 0 then 3 else 1 end as copies from drugitems where rate is not null), u as (select itemid, rate, unnest(range(copies)) from r) select itemid, round(quantile_cont(rate, 0.1), 6) as p10, round(quantile_cont(rate, 0.5), 6) as p50, round(quantile_cont(rate, 0.9), 6) as p90 from u group by 1")
+@query("with r as (select itemid, rate, case when isadditive = 1 then 3 else 1 end as copies from drugitems where rate is not null), u as (select itemid, rate, unnest(range(copies)) from r) select itemid, round(quantile_cont(rate, 0.1), 6) as p10, round(quantile_cont(rate, 0.5), 6) as p50, round(quantile_cont(rate, 0.9), 6) as p90 from u group by 1")
 def op_166_weighted_percentiles(s, d):
-    rows = table(s, d, "drugitems").filter("rate is not null").withColumn("copies", F.when(F.col("admissionid") % 3 == 0, 3).otherwise(1))
+    rows = table(s, d, "drugitems").filter("rate is not null").withColumn("copies", F.when(F.col("isadditive") == 1, 3).otherwise(1))
     return fit.pooled_percentiles(rows, "itemid", "rate", "copies", [0.1, 0.5, 0.9]).select("itemid", *[F.round(k, 6).alias(k) for k in ("p10", "p50", "p90")])
 
 
