@@ -70,3 +70,10 @@ def test_compositions_are_consistent():
     assert compose(GENERAL_EDGES, "°C")["°F"] == pytest.approx((1 / 1.8, -32 / 1.8))
     with pytest.raises(InconsistentConversions):
         compose([("a", "b", 2.0, 0.0), ("b", "c", 2.0, 0.0), ("a", "c", 5.0, 0.0)], "c")
+
+
+def test_spellings_name_one_unit_each():
+    from wardgrid.operators.units import _spelt
+
+    said = [(_spelt(s), u) for u, ways in SPELLINGS.items() for s in {*ways, u}]
+    assert len({t for t, _ in set(said)}) == len(set(said))

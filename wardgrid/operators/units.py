@@ -97,9 +97,9 @@ def _strip_comment(found: Column) -> Column:
 
 def _alias_frame(spark, units: Sequence[tuple[int, str]]) -> DataFrame:
     ids = {u: i for i, u in units}
-    rows = {(_spelt(s), ids[u]) for u, all_ in SPELLINGS.items() if u in ids for s in (*all_, u)}
-    rows |= {(_spelt(u), i) for u, i in ids.items() if u != "None"}
-    return spark.createDataFrame(sorted(rows), "__t string, __u long")
+    rows = {_spelt(s): ids[u] for u, all_ in SPELLINGS.items() if u in ids for s in (*all_, u)}
+    rows = {_spelt(u): i for u, i in ids.items() if u not in (None, "None")} | rows
+    return spark.createDataFrame(sorted(rows.items()), "__t string, __u long")
 
 
 def _conversions(items: Sequence, units: Sequence[tuple[int, str]], extra_edges: Iterable[Edge]) -> list[tuple]:
@@ -153,12 +153,13 @@ def convert_units(
     keeps the item's physmin, physmax and measured as __physmin, __physmax and __measured.
     """
     spark = df.sparkSession
-    unit_rows = [(r["unitid"], r["unit"]) for r in units.select("unitid", "unit").limit(MAX_ITEMS).collect()]
-    quantity = {r["unitid"]: r["quantity"] for r in units.select("unitid", "quantity").limit(MAX_ITEMS).collect()}
+    known_units = units.select("unitid", "unit", "quantity").filter("unitid is not null").limit(MAX_ITEMS + 1).collect()
+    unit_rows = [(r["unitid"], r["unit"]) for r in known_units]
+    quantity = {r["unitid"]: r["quantity"] for r in known_units}
     keep = ["itemid", "tag", "target_unit", "target_unitid", "physmin", "physmax"]
     item_rows = items.select(*keep, *(["measured"] if "measured" in items.columns else [])).limit(MAX_ITEMS + 1).collect()
-    if len(item_rows) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items: the conversion graph is meant for a catalogue")
+    if max(len(item_rows), len(known_units)) > MAX_ITEMS:
+        raise ValueError(f"more than {MAX_ITEMS} items or units: the conversion graph is meant for a catalogue")
     known = list({r["itemid"]: r for r in item_rows if r["target_unit"] is not None and r["itemid"] is not None}.values())
     conv = _conversions(known, unit_rows, extra_edges)
     schema = "itemid long, __unit long, __a double, __b double"

@@ -29,8 +29,8 @@ def p1_periods(spark: SparkSession, d: str) -> DataFrame:
     return merge_intervals(_medication(spark, d), ["admissionid"], "start", "stop")
 
 
-def _converted(spark: SparkSession, d: str, bounds: bool = False) -> DataFrame:
-    return convert_units(table(spark, d, "numericitems"), table(spark, d, "items"), table(spark, d, "units"), bounds=bounds)
+def _converted(spark: SparkSession, d: str, bounds: bool = False, rows: DataFrame | None = None) -> DataFrame:
+    return convert_units(table(spark, d, "numericitems") if rows is None else rows, table(spark, d, "items"), table(spark, d, "units"), bounds=bounds)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +41,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _grid(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "items").filter("cadence_ms is not null").select("itemid").distinct()
-    rows = _converted(spark, d).join(items, "itemid", "left_semi")
+    rows = _converted(spark, d, rows=table(spark, d, "numericitems").join(items, "itemid", "left_semi"))
     stays = table(spark, d, "admissions").select("admissionid", (F.col("dischargedat") - F.col("admittedat")).alias("lasted"))
     return regular_grid(rows, stays, "admissionid", ["itemid"], "admission_relative_ms", "target_value", "lasted")
 
