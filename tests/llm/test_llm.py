@@ -321,3 +321,21 @@ def test_found_queries_run(spark, data):
     assert QUERIES["p9_found"](spark, data).columns == ["doc_id", "item_id"]
     assert QUERIES["p10_found"](spark, data).columns == ["doc_id"]
     assert QUERIES["p4_splits"](spark, data).groupBy("person").agg(F.countDistinct("split").alias("n")).filter("n > 1").count() == 0
+
+
+def test_long_odd_texts_take_no_long_time():
+    import time
+
+    import pyarrow as pa
+
+    from wardgrid.llm import spam
+    from wardgrid.llm.leakage import SeedTable, leaks_in
+    from wardgrid.llm.spam import Keywords, clean, keyword_share
+
+    table = SeedTable(LeakRules(), [1], [words(PASSAGE)])
+    for text in ("a" * 1_000_000, "x.y/z :" + "a." * 100_000, "<" * 300_000, "[url=" * 100_000, "a-\n" * 200_000, "x.com/" + "a-" * 200_000, "a, " * 300_000, PASSAGE * 500):
+        began = time.process_time()
+        leaks_in(text, table)
+        keyword_share(clean(text), Keywords(frozenset({"a"})), SpamRules())
+        list(spam._slug_words(iter([pa.RecordBatch.from_arrays([pa.array([text])], names=["t"])])))
+        assert time.process_time() - began < 10, text[:10]

@@ -62,7 +62,7 @@ class Keywords:
 ADDRESS = re.compile(r"://|www\.|\]\(|\[url|href=|\.(?:com|org|net|info|biz|shop|invalid|test|example|nl|de|be|eu)(?:[/\]\"'>)]|$)", re.I)
 MARKED = re.compile(r"^[|*•·»>-]*(?:#[^\W\d_]|tags?:\S)", re.I)
 #: The parts of a tag, or of the path of an address, if there are two or more.
-SLUG = re.compile(r"(?:\btags?:|[\w-]+(?:\.[\w-]+)+/)([^\W_]+(?:[-_+][^\W_]+)+)", re.I)
+SLUG = re.compile(r"(?:\btags?:|(?<![\w.-])[\w-]++(?:\.[\w-]++)++/)([^\W_]++(?:[-_+][^\W_]++)++)", re.I)
 PART = re.compile(r"[-_+]")
 SLUG_HINT = r"(?i)tags?:[^\s]|[.][a-z]+/[^\s]"
 # Where a line is cut besides its ends: signs between blanks, breaks, ends of sentences.
