@@ -63,7 +63,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_converted(spark: SparkSession, d: str) -> DataFrame:
     """Every value in its item's target unit."""
-    return _converted(spark, d).select("numericid", "admissionid", "itemid", "value", "target_value", "target_value_changed")
+    return _converted(spark, d).select("numericid", "admissionid", "itemid", "value", F.round("target_value", 6).alias("target_value"), "target_value_changed")
 
 
 def p7_wide(spark: SparkSession, d: str) -> DataFrame:
