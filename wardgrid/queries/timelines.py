@@ -162,11 +162,11 @@ _KNOTS = 11
 
 @query(f"""with t as (select itemid, quantile_cont(rate, [{', '.join(str(i / (_KNOTS - 1)) for i in range(_KNOTS))}]) k from drugitems where rate > 0 and admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by 1),
 j as (select admissionid, orderid, start, rate, k, len(list_filter(k, lambda e: e <= rate)) as n from drugitems join t using (itemid))
-select admissionid, orderid, start, round(case when rate is null then null when rate <= 0 or n = 0 then 0.0 when n > {_KNOTS - 1} then 1.0 else (n - 1 + case when k[n + 1] > k[n] then (rate - k[n]) / (k[n + 1] - k[n]) else 0.0 end) / {_KNOTS - 1} end, 5) as place from j""")
+select admissionid, orderid, start, round(case when rate is null then null when rate <= 0 or n = 0 then 0.0 when n > {_KNOTS - 1} then 1.0 else (n - 1 + case when k[n + 1] > k[n] then (rate - k[n]) / (k[n + 1] - k[n]) else 0.0 end) / {_KNOTS - 1} end + 1e-9, 6) as place from j""")
 def op_143_rank_transform(s, d):
     g = table(s, d, "drugitems")
     ranks = fit.fit_ranks(training(g, s, d), "itemid", "rate", _KNOTS)
-    return fit.ranked(g, ranks, "itemid", "rate", "place").join(ranks.select("itemid"), "itemid", "left_semi").select("admissionid", "orderid", "start", F.round("place", 5).alias("place"))
+    return fit.ranked(g, ranks, "itemid", "rate", "place").join(ranks.select("itemid"), "itemid", "left_semi").select("admissionid", "orderid", "start", F.round(F.col("place") + 1e-9, 6).alias("place"))
 
 
 @query("select admissionid, case max(agegroup) when '18-39' then 30 when '40-49' then 45 when '50-59' then 55 when '60-69' then 65 when '70-79' then 75 when '80+' then 85 end as age, case max(gender) when 'Man' then 1 when 'Vrouw' then 0 end as male from admissions group by 1")
