@@ -221,6 +221,17 @@ def test_items_in_blocks_and_reordered_tiles(spark):
     assert leaks(spark, texts, items) == expected == leaks(spark, texts, items, rules=LeakRules(block=700))
 
 
+def test_quotations_of_compounds_parted_otherwise(spark):
+    w = PASSAGE.split()
+    item = " ".join(w[:3] + ["mcg/min/kg"] + w[3:8] + ["long-term"] + w[8:14] + ["patient's"] + w[14:40])
+    ws = item.split()
+    at = [i for i, x in enumerate(ws) if not x.isalpha()]
+    texts = [" ".join(ws[i - k : i - k + 24]) for i in at[1:] for k in range(4)] + [" ".join(ws[at[0] : at[0] + 24])]
+    texts += ["so it was: " + texts[-1].replace(" ", "-"), "seen: " + item.replace(" ", ""), " ".join("".join(c for c in item if c.isalnum())), item.replace("long-term", "lo ng te rm").replace("mcg/min/kg", "mcgminkg")]
+    assert leaks(spark, texts, [(1, item)]) == [(i, 1) for i in range(len(texts))]
+    assert leaks(spark, [" ".join(ws[at[0] : at[0] + 23])], [(1, item)]) == []
+
+
 def brute_coverage(item, doc, places):
     best = 0
     states = {(i, j, 0): 0 for i in range(len(item)) for j in range(len(doc)) if item[i] == doc[j]}

@@ -80,20 +80,20 @@ class SeedTable:
         half, window = self.rules.words // 2, self.rules.window
         self.least = np.array([min((s[half:] - s[:-half]).min() - window // 2, s[-1]) if len(s) > self.rules.words else 1 << 30 for s in self.starts], dtype=np.int64)
 
-    def seeds(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place in the item, place in the document) of anchors: a seed of each run of seeds, for
+    def seeds(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first place in the item, first place in the document, letters) of each run of seeds, for
         items whose seeds along one diagonal lie as far apart as a leak's."""
         none = np.zeros(0, dtype=np.int64)
         rules = self.rules
         h = _window_hashes(data, rules.window, rules.stride)
         at = np.flatnonzero(self.bits[(h >> np.uint64(42)).astype(np.int64)])
         if not len(at):
-            return none, none, none
+            return none, none, none, none
         h = h[at]
         low, high = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
         many = high - low
         if not many.any():
-            return none, none, none
+            return none, none, none, none
         where = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         there = np.repeat(at * rules.stride, many)
         item, place = self.item[where].astype(np.int64), self.place[where].astype(np.int64)
@@ -107,14 +107,31 @@ class SeedTable:
         span = np.maximum.reduceat(place, first) - np.minimum.reduceat(place, first) + rules.window
         keep = (span >= self.least[item[first]])[cluster]
         run = np.r_[True, far | (diagonal[1:] != diagonal[:-1]) | (place[1:] - place[:-1] > rules.window)]
-        keep &= run
-        return item[keep], place[keep], there[keep]
+        run = np.flatnonzero(run)
+        length = np.maximum.reduceat(place, run) - place[run] + rules.window
+        run, length = run[keep[run]], length[keep[run]]
+        return item[run], place[run], there[run], length
 
 
 #: Letters that three words added to a quotation or left out of it come to at most.
 DRIFT = 60
 
 
+def _run(a: Sequence[str], b: Sequence[str], x: int, y: int, step: int) -> Iterator[tuple[int, int]]:
+    """The places from a[x], b[y] onward in direction step up to which all words are equal, but for blanks."""
+    n, m = len(a), len(b)
+    yield x, y
+    while 0 <= x < n and 0 <= y < m:
+        if a[x] == b[y]:
+            x, y = x + step, y + step
+        else:
+            glued = _glued(a, b, x, y, step)
+            if not glued:
+                return
+            x, y = x + step * glued[0], y + step * glued[1]
+        yield x, y
+
+
 def _extend(a: Sequence[str], b: Sequence[str], i: int, j: int, step: int, places: int) -> list[int]:
     """Item words covered from a[i], b[j] onward in direction step with 0, 1, ... disturbed places, the last word matching."""
     n, m = len(a), len(b)
@@ -125,19 +142,16 @@ def _extend(a: Sequence[str], b: Sequence[str], i: int, j: int, step: int, place
         far = best[e]
         for x, y in states:
             x0 = x
+            # As _run, without its calls.
             while 0 <= x < n and 0 <= y < m:
                 if a[x] == b[y]:
-                    x += step
-                    y += step
+                    x, y = x + step, y + step
                 else:
                     p, q = a[x], b[y]
-                    if not ((p.startswith(q) or q.startswith(p)) if step > 0 else (p.endswith(q) or q.endswith(p))):
-                        break
-                    glued = _glued(a, b, x, y, step)
+                    glued = (p[0] == q[0] if step > 0 else p[-1] == q[-1]) and _glued(a, b, x, y, step)
                     if not glued:
                         break
-                    x += step * glued[0]
-                    y += step * glued[1]
+                    x, y = x + step * glued[0], y + step * glued[1]
             if x != x0:
                 far = max(far, (x - start) * step)
             if e < places:
@@ -150,33 +164,44 @@ def _extend(a: Sequence[str], b: Sequence[str], i: int, j: int, step: int, place
 
 
 def _glued(a: Sequence[str], b: Sequence[str], x: int, y: int, step: int) -> tuple[int, int] | None:
-    """(p, q): p words of a from x on are q words of b from y on, but for blanks between them; at most 4 in all."""
-    for p, q in ((1, 2), (2, 1), (1, 3), (3, 1)):
-        u, v = x + step * (p - 1), y + step * (q - 1)
-        if 0 <= u < len(a) and 0 <= v < len(b):
-            left = "".join(a[x : u + 1] if step > 0 else a[u : x + 1])
-            right = "".join(b[y : v + 1] if step > 0 else b[v : y + 1])
-            if left == right:
-                return p, q
-    return None
+    """(p, q), the least: p words of a from x on are q words of b from y on, but for blanks between them."""
+    u, v, left, right = x, y, a[x], b[y]
+    while left or right:
+        n = min(len(left), len(right))
+        if not (left[:n] == right[:n] if step > 0 else left[len(left) - n :] == right[len(right) - n :]):
+            return None
+        left, right = (left[n:], right[n:]) if step > 0 else (left[: len(left) - n], right[: len(right) - n])
+        if left:
+            v += step
+            if not 0 <= v < len(b):
+                return None
+            right = b[v]
+        elif right:
+            u += step
+            if not 0 <= u < len(a):
+                return None
+            left = a[u]
+    return (u - x) * step + 1, (v - y) * step + 1
 
 
 def coverage(item: Sequence[str], doc: Sequence[str], anchors: Sequence[tuple[int, int]], places: int = 3) -> int:
     """The most consecutive words of the item that the document contains in order, disturbed in at most
     `places` places by a word that is altered, left out or added.
 
-    Anchors are pairs of equal words (of the item, of the document). Greedy tiling: from each anchor
-    that isn't marked the run of equal words is marked as a tile, and tiles on either side are joined
-    to it over disturbed places, as far as these last; the words at both ends match.
+    Anchors are pairs of words (of the item, of the document) at which equal letters may begin, parted
+    alike or not; those at which none do are passed over. From each anchor that isn't marked the run of
+    equal words is marked as a tile, and tiles on either side are joined to it over disturbed places, as
+    far as these last; the words at both ends match.
     """
-    best, marked = 0, {}
+    best, marked = 0, set()
     for i, j in anchors:
-        if i < marked.get(i - j, 0):
+        if (i, j) in marked:
             continue
-        if item[i] != doc[j]:
+        tile = list(_run(item, doc, i, j, 1))
+        if len(tile) == 1:
             continue
+        marked.update(tile)
         right, left = _extend(item, doc, i, j, 1, places), _extend(item, doc, i - 1, j - 1, -1, places)
-        marked[i - j] = i + right[0]
         best = max(best, max(left[e] + right[places - e] for e in range(places + 1)))
     return best
 
@@ -188,23 +213,23 @@ def leaks_in(text: str, table: SeedTable) -> list[tuple[int, int]]:
     data = np.frombuffer(letters(flat), dtype=np.uint8)
     if len(data) < rules.window:
         return []
-    item, place, there = table.seeds(data)
+    item, place, there, length = table.seeds(data)
     if not len(item):
         return []
     doc = doc_words(flat)
     starts = np.cumsum([0, *map(len, doc)])
-    # The first whole word within each anchor's window, if it begins one in both.
-    at = np.searchsorted(starts, there)
-    shift = starts[np.minimum(at, len(starts) - 1)] - there
     found = []
     for k in np.unique(item):
-        mine = item == k
         own = table.starts[k]
-        goal = place[mine] + shift[mine]
-        i = np.minimum(np.searchsorted(own, goal), len(own) - 2)
-        ok = (own[i] == goal) & (at[mine] < len(doc))
-        words_ = table.words[k]
-        n = coverage(words_, doc, list(zip(i[ok].tolist(), at[mine][ok].tolist())), rules.places)
+        anchors = []
+        for p, t, n in zip(*(x[item == k].tolist() for x in (place, there, length))):
+            # Where a word begins in both, along the run and the letters beside it that may belong to it.
+            i = np.arange(np.searchsorted(own, p - rules.stride + 1), min(np.searchsorted(own, p + n + rules.stride), len(own) - 1))
+            goal = own[i] + t - p
+            j = np.searchsorted(starts, goal)
+            ok = (j < len(doc)) & (starts[np.minimum(j, len(doc))] == goal)
+            anchors += zip(i[ok].tolist(), j[ok].tolist())
+        n = coverage(table.words[k], doc, anchors, rules.places)
         if n >= rules.words:
             found.append((int(k), n))
     return found
