@@ -53,6 +53,16 @@ def test_size_shows_the_scale_only_if_the_item_uses_it(spark, tables):
     assert run(spark, tables, [*named, (2, "FiO2", 0.5, 307, None, None), (2, "FiO2", 0.4, None, None, None), (2, "FiO2", 999.0, None, None, None), (2, "FiO2", 45.0, None, None, None)])[-4:] == [(50.0, True), (40.0, True), (999.0, False), (45.0, False)]
 
 
+def test_size_shows_the_scale_of_unusual_values_too(spark, tables):
+    named = [(2, "FiO2", float(v), 306, "%", None) for v in range(21, 91) for _ in range(2)] + [(2, "FiO2", 0.5, None, "fractie", None)]
+    assert run(spark, tables, [*named, (2, "FiO2", 1.0, None, None, None), (2, "FiO2", 1.01, None, None, None), (2, "FiO2", 0.2, None, None, None)])[-3:] == [(100.0, True), (1.01, False), (20.0, True)]
+    # A number for no reading is no value in another scale, though possible there.
+    sugar = [(5, "Gluc", 4 + i / 10, 310, None, None) for i in range(100)] + [(5, "Gluc", 150.0, 311, None, None)]
+    assert run(spark, tables, [*sugar, (5, "Gluc", 999.0, None, None, None), (5, "Gluc", 360.0, None, None, None)])[-2:] == [(999.0, False), (round(360 / 18.0156, 3), True)]
+    # Without scatter the bounds decide.
+    assert run(spark, tables, [(2, "FiO2", 40.0, 306, None, None)] * 3 + [(2, "FiO2", 0.4, 307, None, None), (2, "FiO2", 0.5, None, None, None)])[-1] == (50.0, True)
+
+
 def test_nulls_unknown_items_and_empty_tables(spark, tables):
     got = run(spark, tables, [(1, "Druk", None, 302, None, None), (1, None, math.nan, 302, None, None), (99, "x", 5.0, 302, None, None), (None, None, 5.0, None, None, None), (7, "Score", 5.0, 302, None, None), (1, "Druk", 5.0, 306, None, None)])
     assert got == [(None, False), (None, False), (5.0, False), (5.0, False), (5.0, False), (None, False)]

@@ -20,6 +20,9 @@ from wardgrid.functions.unit_tables import CHARGE, GENERAL_EDGES, MOLAR_MASS, NO
 Edge = tuple[str, str, float, float]
 #: A target graph is built for at most this many item rows; the items table is a fixed one.
 MAX_ITEMS = 100_000
+#: Scatters from the usual values beyond which a value is a fault in any scale (as 999 for no reading), as
+#: with problem 3; and how many scatters the central 98 % of values span.
+SCATTERS, CENTRAL_98 = 6.0, 4.652696
 
 
 class InconsistentConversions(ValueError):
@@ -144,8 +147,10 @@ def convert_units(
     df has itemid, item, value, unitid, unit, comment, and may have more columns, which stay; items has
     itemid, tag, target_unit, target_unitid, physmin, physmax; units has unitid, unit, quantity. A row
     that names no unit is in the target unit, unless its value is outside physmin to physmax and
-    another unit of the target's quantity, one that rows of this item name, brings it within the central 98 % of the item's values
-    recorded in the target unit; then it is in the unit that brings it nearest to their median.
+    another unit of the target's quantity, one that rows of this item name in any way, brings it within
+    physmin to physmax and within SCATTERS scatters of the median of the item's values named as in the
+    target unit; then it is in the unit that brings it nearest to their median. Distances are ratios,
+    or differences where such values reach 0 or below; values without scatter leave it to the bounds.
 
     A null or NaN value gives a null and false. An unknown item, an item without a target, and a unit
     that can't reach the target keep their value, unchanged (`out` null for the last). Ties between
@@ -175,20 +180,24 @@ def convert_units(
     info = spark.createDataFrame([(r["itemid"], r["target_unitid"], r["physmin"], r["physmax"], r["measured"] if "measured" in r else None, others[r["itemid"]]) for r in known], info_schema)
 
     number = F.when(~F.isnan("value"), F.col("value"))
+    named = recorded_unit(df, unit_rows)
     usual = (
-        df.select("itemid", "unitid", number.alias("__v")).join(F.broadcast(info.select("itemid", "__target", "__others")), "itemid")
+        named.select("itemid", "__unit", number.alias("__v")).join(F.broadcast(info.select("itemid", "__target", "__others")), "itemid")
         .filter("__v is not null and size(__others) > 0")
         .groupBy("itemid").agg(
-            F.percentile_approx(F.when(F.col("unitid") == F.col("__target"), F.col("__v")), [0.01, 0.5, 0.99], 10_000).alias("__usual"),
-            F.collect_set(F.when(F.col("unitid").isin(list(quantity)), F.col("unitid"))).alias("__used"),
+            F.percentile_approx(F.when(F.col("__unit") == F.col("__target"), F.col("__v")), [0.01, 0.5, 0.99], 10_000).alias("__usual"),
+            F.collect_set("__unit").alias("__used"),
         )
     )
     # A row for each item of the catalogue, at most MAX_ITEMS.
     about = F.broadcast(info.join(usual, "itemid", "left"))
-    rows = recorded_unit(df, unit_rows).withColumn("__v", number).join(about, "itemid", "left")
+    rows = named.withColumn("__v", number).join(about, "itemid", "left")
     outside = F.col("__unit").isNull() & ((F.col("__v") < F.col("__physmin")) | (F.col("__v") > F.col("__physmax")))
+    distance = "case when __usual[0] > 0 then abs(ln(o.y / __usual[1])) else abs(o.y - __usual[1]) end"
+    scatter = f"case when __usual[0] > 0 then ln(__usual[2] / __usual[0]) else __usual[2] - __usual[0] end / {CENTRAL_98}"
     candidates = F.expr(
-        "filter(transform(filter(__others, o -> array_contains(__used, o.u)), o -> struct(abs(__v * o.a + o.b - __usual[1]) as d, o.u as u, __v * o.a + o.b as y)), c -> c.y between __usual[0] and __usual[2])"
+        f"filter(transform(transform(filter(__others, o -> array_contains(__used, o.u)), o -> struct(o.u as u, __v * o.a + o.b as y)), o -> struct({distance} as d, o.u as u, o.y as y)), "
+        f"c -> c.d is not null and c.y >= coalesce(__physmin, c.y) and c.y <= coalesce(__physmax, c.y) and (__usual[0] = __usual[2] or c.d <= {SCATTERS} * {scatter}))"
     )
     guessed = F.when(outside, F.array_min(candidates)["u"])
     other = F.coalesce("__unit", guessed)
