@@ -300,6 +300,19 @@ def test_spam_and_lists_that_are_none(spark):
     assert find_spam(df.filter("false")).count() == 0
 
 
+def test_one_large_link_farm_hides_no_other_family(spark):
+    rng = random.Random(8)
+    coin = lambda: "".join(rng.choice("bcdfgklmnprstv") + rng.choice("aeiou") for _ in range(4))
+    vocabulary = [coin() for _ in range(300)]
+    farm = [" | ".join(f"https://www.y{i}.example.com/" + "-".join(rng.choice(vocabulary) for _ in range(6)) for _ in range(60)) for i in range(300)]
+    links = [" | ".join(f"https://www.x{i}.example.com/{p.replace(' ', '-')}" for p in phrases(rng, 3)) for i in range(4)]
+    lists = [sep.join(phrases(rng, 30)) for sep in (", ", "\n", "; ")]
+    texts = farm + links + lists + [SENTENCES] * 600
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"] for r in find_spam(df).collect()}
+    assert got == set(range(len(farm) + len(links) + len(lists)))
+
+
 def test_without_links_nothing_is_known(spark):
     df = spark.createDataFrame([(1, SENTENCES), (2, "a, b, c, d, e"), (3, "https://a.example.com/x https://b.example.com/y https://c.example.com/z")], "doc_id long, text string")
     assert rows(find_spam(df), "doc_id") == [(3,)]

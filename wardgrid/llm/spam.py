@@ -30,24 +30,20 @@ from wardgrid.session import cut
 class SpamRules:
     """page: share of a page's words in keyword shapes above which it is flagged; dense: keyword share that
     makes a group of short segments one of keywords, dense_long the same of a long segment; beside: share
-    of keywords and links from which the weak ones count; least: share of all words of addresses and
-    tags that a keyword has at least (so there are at most 1 / least); seen: times, or pages, it is seen
-    in at least; strong: times as frequent in addresses as on pages with few of their words. Grown keywords: hint and kinds:
+    of keywords and links from which the weak ones count; seen: times, or pages, a keyword is seen in at
+    least, however large the corpus; strong: times as frequent in addresses as on pages with few of their words. Grown keywords: hint and kinds:
     keyword share and number of different keywords of a page they are taken from, most of whose words
-    must lie in segments of at most `short` words; pages: share of those pages that hold the word; lift:
-    times as frequent there as elsewhere; only: share of its occurrences that lie there."""
+    must lie in segments of at most `short` words; lift: times as frequent there as elsewhere; only: share of its occurrences that lie there."""
 
     page: float = 0.5
     dense: float = 0.2
     dense_long: float = 0.4
     beside: float = 0.15
-    least: float = 1e-4
     seen: int = 3
     strong: float = 5.0
     hint: float = 0.08
     kinds: int = 3
     short: int = 6
-    pages: float = 0.02
     lift: float = 10.0
     only: float = 0.3
 
@@ -219,15 +215,15 @@ def _grow(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRule
 
 
 def corpus_keywords(docs: DataFrame, rules: SpamRules) -> Keywords:
-    """The corpus's keywords; docs has a column t of whole texts. What is collected has a fixed share of
-    what it is collected from, so there is only so much of it: 1 / least words of addresses, and words on a
-    share `pages` of pages."""
+    """The corpus's keywords; docs has a column t of whole texts. No word has to make up a share of the corpus,
+    so that one large family of pages doesn't hide the words of others. What is collected are different
+    words of addresses and tags, and of keyword-like pages, seen `seen` times: it grows as a vocabulary does."""
     total = lambda df: df.groupBy("w").agg(F.sum("n").alias("n"))
     slugs = cut(total(docs.mapInArrow(_slug_words, "w string, n long")))
     n_slug = slugs.agg(F.sum("n")).first()[0]
     if not n_slug:
         return Keywords()
-    parts = {r["w"]: r["n"] for r in slugs.filter((F.col("n") >= F.lit(rules.least * n_slug)) & (F.col("n") >= rules.seen)).collect()}
+    parts = {r["w"]: r["n"] for r in slugs.filter(F.col("n") >= rules.seen).collect()}
     known = frozenset(parts)
     ordinary = cut(total(docs.mapInArrow(lambda it: _ordinary_words(it, known, rules), "w string, n long")))
     n_all = (ordinary.agg(F.sum("n")).first()[0] or 0) + 1
@@ -237,12 +233,11 @@ def corpus_keywords(docs: DataFrame, rules: SpamRules) -> Keywords:
     if not strong:
         return found
     near = cut(docs.mapInArrow(lambda it: _grow(it, found, rules), "w string, n long, pages long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")))
-    pages = near.filter("w = ''").agg(F.sum("pages")).first()[0]
     n_near = near.agg(F.sum("n")).first()[0]
-    if not pages or not n_near:
+    if not n_near:
         return found
-    often = near.filter((F.col("w") != "") & (F.col("pages") >= F.lit(rules.pages * pages)) & (F.col("pages") >= rules.seen)).join(ordinary.withColumnRenamed("n", "m"), "w", "left")
-    new = [r["w"] for r in often.fillna(0, ["m"]).collect() if r["n"] >= rules.only * (r["n"] + r["m"]) and r["n"] / n_near >= rules.lift * r["m"] / n_all]
+    often = near.filter((F.col("w") != "") & (F.col("pages") >= rules.seen)).join(ordinary.withColumnRenamed("n", "m"), "w", "left")
+    new = [r["w"] for r in often.fillna(0, ["m"]).filter((F.col("n") >= rules.only * (F.col("n") + F.col("m"))) & (F.col("n") / n_near >= rules.lift * F.col("m") / n_all)).collect()]
     strong = strong | frozenset(new)
     return Keywords(strong, found.weak - strong)
 
@@ -263,7 +258,7 @@ def find_spam(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tags, or phrases made from them.
 
     Whole texts are read four times: for addresses, to count words, to grow the keywords, and for the verdict. What
-    reaches the driver and the executors are keywords, whose number the rules bound. Null and empty
+    reaches the driver and the executors are keywords, each once: a vocabulary, not a share of the rows. Null and empty
     texts, and texts without words, aren't flagged; null ids are passed over; of repeated ids the larger
     share is given. A corpus without addresses or tags has no keywords; its pages are judged by links
     alone. Other columns are ignored, whatever their names; an empty table gives no row.
