@@ -26,6 +26,15 @@ def test_every_hour_that_begins_before_the_end(spark):
     assert all(math.isfinite(v[2]) for v in seen.values())
 
 
+def test_readings_without_a_value_count(spark):
+    df = spark.createDataFrame([(1, 7, 0, 5.0, 2.0), (1, 7, HOUR_MS, 9.0, None), (1, 7, 3 * HOUR_MS, 5.0, 2.0), (1, 8, HOUR_MS, 9.0, None), (1, 8, 0, None, None)], "adm long, item long, ms long, raw double, v double")
+    stays = spark.createDataFrame([(1, 4 * HOUR_MS)], "adm long, lasted long")
+    got = {(r["item"], r["hournr"]): r for r in regular_grid(df, stays, "adm", ["item"], "ms", "v", "lasted", counted="raw").collect()}
+    assert [got[7, h]["status"] for h in range(4)] == ["observed", "observed", "filled", "observed"]
+    assert got[7, 1]["value"] is None and got[7, 1]["n_readings"] == 1 and abs(got[7, 2]["value"] - 2.0) < 0.5
+    assert [got[8, h]["status"] for h in range(4)] == ["marked", "observed", "marked", "marked"]
+
+
 def test_fill_follows_the_season_and_meets_the_observed(spark):
     def true(h):
         return 80 + 0.05 * h + 10 * math.cos(2 * math.pi * h / 24) + 4 * math.sin(4 * math.pi * h / 24)

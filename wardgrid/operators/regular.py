@@ -47,7 +47,7 @@ def _solve(batches: Iterator[pd.DataFrame], p: int, ridge: float) -> Iterator[pd
 
 def regular_grid(
     df: DataFrame, stays: DataFrame, entity: str, series: Sequence[str], offset: str, value: str, length: str, step: int = HOUR_MS, day: int = 24 * HOUR_MS, harmonics: int = 2, ridge: float = 1.0,
-    out: tuple[str, str, str, str] = ("hournr", "value", "n_readings", "status"),
+    out: tuple[str, str, str, str] = ("hournr", "value", "n_readings", "status"), counted: str | None = None,
 ) -> DataFrame:
     """Rows (entity, *series, step number, value, n_readings, status) for every step of each series.
 
@@ -57,6 +57,9 @@ def regular_grid(
     of the step's readings), `filled` (value: harmonic regression with trend, plus bridged residual)
     or `marked` (missing and not to be predicted, as from infinite values).
 
+    `counted` is the column whose numbers make a row a reading, if it isn't `value`: a step whose readings
+    have no value is observed with a null value, and doesn't weigh in filling.
+
     Readings with a null or NaN value, a null offset or key, or an offset outside the steps don't
     count. Entities that stays lacks, or whose length is null or not above 0, give no row; of several
     lengths the largest holds. Repeated rows weigh in the mean only. Other columns are ignored,
@@ -65,8 +68,9 @@ def regular_grid(
     c = lambda name: F.col(f"`{name}`")
     names = [f"__k{i}" for i in range(len(series))]
     keys = ["__id", *names]
-    rows = df.select(c(entity).alias("__id"), *[c(s).alias(n) for s, n in zip(series, names)], F.floor(c(offset) / F.lit(step)).cast("long").alias("__h"), c(value).cast("double").alias("__v"))
-    rows = rows.filter(" and ".join([f"{k} is not null" for k in keys] + ["__h >= 0", "__v is not null", "not isnan(__v)"]))
+    rows = df.select(c(entity).alias("__id"), *[c(s).alias(n) for s, n in zip(series, names)], F.floor(c(offset) / F.lit(step)).cast("long").alias("__h"), c(value).cast("double").alias("__v"), c(counted or value).cast("double").alias("__c"))
+    rows = rows.filter(" and ".join([f"{k} is not null" for k in keys] + ["__h >= 0", "__c is not null", "not isnan(__c)"]))
+    rows = rows.withColumn("__v", F.when(~F.isnan("__v"), F.col("__v")))
     hourly = rows.groupBy(*keys, "__h").agg(F.avg("__v").alias("__v"), F.count("*").alias("__n"))
     lasting = stays.groupBy(c(entity).alias("__id")).agg(F.ceil(F.max(c(length)) / F.lit(step)).cast("long").alias("__len")).filter("__id is not null and __len > 0")
     hourly = hourly.join(lasting, "__id").filter("__h < __len").repartition(*keys)
@@ -74,7 +78,7 @@ def regular_grid(
     terms = 2 + 2 * harmonics
     basis = _basis(F.col("__h").cast("double"), day / step, harmonics)
     products = [F.sum(basis[i] * basis[j]) for i in range(terms) for j in range(i, terms)] + [F.sum(b * F.col("__v")) for b in basis]
-    normal = hourly.groupBy(*keys).agg(F.array(*products).alias("s"))
+    normal = hourly.filter("__v is not null").groupBy(*keys).agg(F.array(*products).alias("s"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in normal.schema.fields if f.name != "s") + ", coef array<double>"
     fitted = normal.mapInPandas(lambda it: _solve(it, terms, ridge), schema).repartition(*keys)
 
@@ -83,14 +87,18 @@ def regular_grid(
         return sum((F.col("coef")[i] * b for i, b in enumerate(parts[1:], 1)), F.col("coef")[0])
 
     w = Window.partitionBy(*keys).orderBy("__h")
-    seen = hourly.join(fitted, keys).withColumn("__r", F.col("__v") - predict(F.col("__h")))
-    seen = seen.withColumns({"__nh": F.lead("__h").over(w), "__nr": F.lead("__r").over(w), "__first": F.row_number().over(w) == 1})
+    seen = hourly.join(fitted, keys, "left").withColumn("__r", F.col("__v") - predict(F.col("__h")))
+    # Residuals are bridged between steps with a value, the last up to a step and the next after it.
+    seen = seen.withColumn("__hr", F.when(F.col("__r").isNotNull(), F.struct(F.col("__h").alias("h"), F.col("__r").alias("r"))))
+    following = F.expr(f"lead(__hr) ignore nulls over (partition by {', '.join(keys)} order by __h)")
+    seen = seen.withColumns({"__nh": F.lead("__h").over(w), "__p": F.last("__hr", ignorenulls=True).over(w), "__q": following, "__first": F.row_number().over(w) == 1})
     # From each observed step: itself, the missing ones after it, and before the first the leading ones.
     after = F.coalesce("__nh", "__len") - 1
     steps = F.sequence(F.when(F.col("__first"), F.lit(0).cast("long")).otherwise(F.col("__h")), after)
     grid = seen.withColumn("__at", F.explode(steps))
-    share = (F.col("__at") - F.col("__h")) / (F.col("__nh") - F.col("__h"))
-    bridge = F.when((F.col("__at") < F.col("__h")) | F.col("__nh").isNull(), F.col("__r")).otherwise(F.col("__r") + share * (F.col("__nr") - F.col("__r")))
+    p, q = F.col("__p"), F.col("__q")
+    share = (F.col("__at") - p["h"]) / (q["h"] - p["h"])
+    bridge = F.when((F.col("__at") < F.col("__h")) | q.isNull() | p.isNull(), F.coalesce(p["r"], q["r"])).otherwise(p["r"] + share * (q["r"] - p["r"]))
     observed = F.col("__at") == F.col("__h")
     fill = predict(F.col("__at")) + bridge
     usable = fill.isNotNull() & ~F.isnan(fill)

@@ -43,7 +43,7 @@ def _grid(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "items").filter("cadence_ms is not null").select("itemid").distinct()
     rows = _converted(spark, d, rows=table(spark, d, "numericitems").join(items, "itemid", "left_semi"))
     stays = table(spark, d, "admissions").select("admissionid", (F.col("dischargedat") - F.col("admittedat")).alias("lasted"))
-    return regular_grid(rows, stays, "admissionid", ["itemid"], "admission_relative_ms", "target_value", "lasted")
+    return regular_grid(rows, stays, "admissionid", ["itemid"], "admission_relative_ms", "target_value", "lasted", counted="value")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
