@@ -9,7 +9,7 @@ from tests.conftest import rows
 from wardgrid.llm import sketch as sk
 from wardgrid.llm.leakage import LeakRules, find_leaks
 from wardgrid.llm.packing import count_tokens, pack, plan_bins, reduce_by_dominance
-from wardgrid.llm.spam import SpamRules, find_spam
+from wardgrid.llm.spam import find_spam
 from wardgrid.llm.splits import connected_components, disagreeing, linked_records, stratified_splits
 from wardgrid.llm.textnorm import letters, plain, words
 
@@ -294,7 +294,7 @@ def test_spam_and_lists_that_are_none(spark):
         "References\n" + "\n".join(f"{i}. Study group. On care in sepsis. J Crit Rec {1990 + i};3:4. https://doi.example.org/ab.{i}" for i in range(9)), "Contents\n" + "\n".join(f"1.{i} Cleaning the device ... {i}" for i in range(9)), "", "x", "​",
     ]
     texts = links + lists + mixed + honest + [SENTENCES] * 40
-    df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate([*texts, None])] + [(None, texts[0], 1.0)], "doc_id long, text string, keyword_share double")
+    df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate([*texts, None])] + [(None, texts[0], 1.0)], "doc_id long, text string, stuffed_share double")
     got = {r["doc_id"] for r in find_spam(df.repartition(3)).collect()}
     assert got == set(range(len(links) + len(lists) + len(mixed)))
     assert find_spam(df.filter("false")).count() == 0
@@ -313,9 +313,39 @@ def test_one_large_link_farm_hides_no_other_family(spark):
     assert got == set(range(len(farm) + len(links) + len(lists)))
 
 
-def test_without_links_nothing_is_known(spark):
-    df = spark.createDataFrame([(1, SENTENCES), (2, "a, b, c, d, e"), (3, "https://a.example.com/x https://b.example.com/y https://c.example.com/z")], "doc_id long, text string")
-    assert rows(find_spam(df), "doc_id") == [(3,)]
+def test_without_links_shapes_decide(spark):
+    rng = random.Random(9)
+    rounds = "\n".join(["Cheap Pump", "Buy Pump", "Best Pump", "Pump Sale"] * 50)
+    run = "cheap pump best pump buy pump sale pump deals pump online. " * 40
+    lists = [sep.join(phrases(rng, 30)) for sep in ("\n", ", ", " | ", "; ", " ")]
+    copied = "\n".join(f"Day {i}: Mouth care was given as agreed with the family." for i in range(30))
+    honest = [SENTENCES, "a, b, c, d, e", copied, "Day shift", "n/a", "\n".join(f"epsixine {i}: calm and awake, no pain" for i in range(30))]
+    texts = [rounds, run, *lists, *honest, *[SENTENCES + f"Bed {i} was moved to the other side of the room before noon." for i in range(40)]]
+    got = find_spam(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert rows(got, "doc_id") == [(i,) for i in range(7)]
+    assert all(r["stuffed_share"] > 0.5 for r in got.collect())
+
+
+def test_shapes():
+    from wardgrid.llm.spam import SpamRules, again, dominated, page_shapes, reduced
+
+    shape = lambda text: reduced(text)[0]
+    assert shape("Cheap Pump") == shape("Best Bed Sale") != shape("cheap pump")
+    assert shape("https://a.example.com/x-y see").links == 2 and shape("an explanation stands beside https://a.nl").links == 1
+    assert shape("HR 60 ABP 120").numerals == 2 and shape("term: what it means").term
+    assert shape("pump bed pump bed pump bed pump bed").odd and not shape("the pump beside the bed stood still all night").odd
+    assert reduced("-- ** --") is None and reduced("") is None
+    assert again(["a"] * 30, 24) == pytest.approx(23 / 24) and again([str(i) for i in range(30)], 24) == 0 and again(["a"] * 7, 24) == 0
+    rules = SpamRules()
+    assert [(g[1], g[2]) for g in page_shapes("pump sale\n" * 20, rules)] == [(1, 40)]
+    assert dominated(page_shapes("pump sale\n" * 20, rules), rules) and not dominated(page_shapes(SENTENCES, rules), rules) and not dominated([], rules)
+
+
+def test_spam_does_not_depend_on_the_partitioning(spark):
+    rng = random.Random(12)
+    texts = [sep.join(phrases(rng, rng.randint(8, 60))) for sep in (", ", "\n", "; ", " ", ". ") for _ in range(6)] + [SENTENCES * rng.randint(1, 4) + " ".join(phrases(rng, rng.randint(0, 60))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(find_spam(df.repartition(1))) == rows(find_spam(df.repartition(7)))
 
 
 # Queries
@@ -350,16 +380,12 @@ def test_found_queries_run(spark, data):
 def test_long_odd_texts_take_no_long_time():
     import time
 
-    import pyarrow as pa
-
-    from wardgrid.llm import spam
     from wardgrid.llm.leakage import SeedTable, leaks_in
-    from wardgrid.llm.spam import Keywords, clean, keyword_share
+    from wardgrid.llm.spam import SpamRules, page_shapes
 
     table = SeedTable(LeakRules(), [1], [words(PASSAGE)])
     for text in ("a" * 1_000_000, "x.y/z :" + "a." * 100_000, "<" * 300_000, "[url=" * 100_000, "a-\n" * 200_000, "x.com/" + "a-" * 200_000, "a, " * 300_000, PASSAGE * 500):
         began = time.process_time()
         leaks_in(text, table)
-        keyword_share(clean(text), Keywords(frozenset({"a"})), SpamRules())
-        list(spam._slug_words(iter([pa.RecordBatch.from_arrays([pa.array([text])], names=["t"])])))
+        page_shapes(text, SpamRules())
         assert time.process_time() - began < 10, text[:10]

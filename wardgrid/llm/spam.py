@@ -1,24 +1,25 @@
 """Keyword-stuffed and link-list pages, by the shapes of their lines.
 
 Lines are cut into segments at separators and ends of sentences, and each segment is reduced to a
-shape: its number of words, capitals, separator, links and tags. Segments of a page are grouped by
-shape; a group whose words are mostly search keywords, links or tags is not made of sentences, and a
-page is flagged if such groups hold more than half of its words. The keywords aren't given: they are
-the words that the corpus's own link addresses and tags are made of, and then the words that keep
-company with them in short lines and seldom stand anywhere else. Words that links and texts share
-alike, such as names of goods, count only beside others.
+shape: its number of words, capitals, the separator that ends it, links, numerals, and whether it
+explains a term. A page's segments are grouped by shape. Shapes that aren't those of sentences and whose
+words come round again and again, or that are links, are stuffed; a page dominated by few stuffed shapes
+is spam by its shapes alone. Those pages then tell how much likelier each word of the corpus is in a
+stuffed shape than elsewhere, and by that odds every shape of every page is judged, twice, so that
+stuffing that takes the form of sentences, or has numerals among it, is found by the company it keeps.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,44 +29,37 @@ from wardgrid.session import cut
 
 @dataclass(frozen=True)
 class SpamRules:
-    """page: share of a page's words in keyword shapes above which it is flagged; dense: keyword share that
-    makes a group of short segments one of keywords, dense_long the same of a long segment; beside: share
-    of keywords and links from which the weak ones count; seen: times, or pages, a keyword is seen in at
-    least, however large the corpus; strong: times as frequent in addresses as on pages with few of their words. Grown keywords: hint and kinds:
-    keyword share and number of different keywords of a page they are taken from, most of whose words
-    must lie in segments of at most `short` words; lift: times as frequent there as elsewhere; only: share of its occurrences that lie there."""
+    """page: share of a page's words in stuffed shapes above which it is flagged; few: shapes that a page
+    flagged by its shapes alone may be spread over; again: share of words that come again within `span`
+    words, from which a shape that isn't a sentence's is stuffed; run: words from which a segment
+    without a break is no sentence; odds: mean log odds of a shape's words from which it is stuffed;
+    most: bound of one word's log odds; rounds: times the odds are taken; buckets: of words' hashes."""
 
     page: float = 0.5
-    dense: float = 0.2
-    dense_long: float = 0.4
-    beside: float = 0.15
-    seen: int = 3
-    strong: float = 5.0
-    hint: float = 0.08
-    kinds: int = 3
-    short: int = 6
-    lift: float = 10.0
-    only: float = 0.3
-
-
-@dataclass(frozen=True)
-class Keywords:
-    strong: frozenset[str] = frozenset()
-    weak: frozenset[str] = frozenset()
+    few: int = 4
+    again: float = 0.3
+    span: int = 24
+    run: int = 40
+    odds: float = 0.5
+    most: float = 3.0
+    rounds: int = 2
+    buckets: int = 1 << 21
 
 
 # Marks of addresses and tags in a word.
 ADDRESS = re.compile(r"://|www\.|\]\(|\[url|href=|\.(?:com|org|net|info|biz|shop|invalid|test|example|nl|de|be|eu)(?:[/\]\"'>)]|$)", re.I)
 MARKED = re.compile(r"^[|*•·»>-]*(?:#[^\W\d_]|tags?:\S)", re.I)
-#: The parts of a tag, or of the path of an address, if there are two or more.
-SLUG = re.compile(r"(?:\btags?:|(?<![\w.-])[\w-]++(?:\.[\w-]++)++/)([^\W_]++(?:[-_+][^\W_]++)++)", re.I)
-PART = re.compile(r"[-_+]")
-SLUG_HINT = r"(?i)tags?:[^\s]|[.][a-z]+/[^\s]"
+#: Signs of which every address or tag has one.
+LINK_SIGNS = frozenset("/.#:[]=")
 # Where a line is cut besides its ends: signs between blanks, breaks, ends of sentences.
-CUT = re.compile(r"\s*<br\s*/?>\s*|\s[|»•·*>–-]+\s|\s*;\s+|(?<=[.!?])\s+|\s*[\r\n]+\s*")
+CUT = re.compile(r"(\s*(?:<br\s*/?>\s*)+|\s*[\r\n]+\s*|\s[|»•·*>–-]+\s|\s*;\s+|(?<=[.!?])\s+)")
 COMMA = re.compile(r"\s*,\s+")
 STRIP = ".,;:!?()[]{}*#|»•·<>\"'`~_-–/\\"
-ODD = re.compile("[\u0370-\u04ff\u200b-\u200f\u00ad\u2060\ufeff]")
+ODD = re.compile("[Ͱ-ӿ​-‏­⁠﻿]")
+RUN = re.compile(r"[^\W_]+")
+STOP, LINE, SIGN, SEMICOLON, COMMAS = range(5)
+#: A shape's state: stuffed by itself, or made of links.
+STUFFED, LINKS = 1, 2
 
 
 def clean(text: str) -> str:
@@ -73,198 +67,269 @@ def clean(text: str) -> str:
     return text if text.isascii() or not ODD.search(text) else INVISIBLE.sub("", text).translate(LOOKALIKES)
 
 
-def segments(text: str) -> list[list[str]]:
-    """The words (by blanks, with a letter or digit) of each segment; commas cut where pieces are short."""
-    out = []
-    for piece in CUT.split(text):
-        parts = COMMA.split(piece) if piece.count(",") >= 3 else [piece]
-        if len(parts) > 3 and len(piece.split()) > 6 * len(parts):
-            parts = [piece]
-        for part in parts:
-            ws = [w for w in part.split() if any(map(str.isalnum, w))]
-            if ws:
-                out.append(ws)
-    return out
-
-
 def is_link(word: str) -> bool:
     """Whether the word is an address or a tag, or holds one."""
     return not LINK_SIGNS.isdisjoint(word) and bool(ADDRESS.search(word) or MARKED.search(word))
 
 
-#: Signs of which every address or tag has one.
-LINK_SIGNS = frozenset("/.#:[]=")
+def _separator(between: str) -> int:
+    if "\n" in between or "\r" in between or "<" in between:
+        return LINE
+    sign = between.strip()
+    return STOP if not sign else SEMICOLON if sign == ";" else SIGN
 
 
-def shape(ws: list[str], links: int) -> tuple[int, int, int]:
-    """(class of the number of words, class of capitals, class of links) of a segment."""
-    n = len(ws)
-    capitals = sum(w[0].isupper() or not w[0].isalnum() for w in ws)
-    return (0 if n <= 3 else 1 if n <= 8 else 2, 0 if not capitals else 2 if 2 * capitals > n else 1, 0 if not links else 2 if 2 * links >= n else 1)
-
-
-def keyword_share(text: str, keywords: Keywords, rules: SpamRules) -> float:
-    """The share of the text's words (runs of letters and digits) that lie in groups of keyword shapes."""
-    groups: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
-    total = 0
-    for ws in segments(text):
-        links = [is_link(w) for w in ws]
-        size = [len(RUN.findall(w)) if link else 1 for w, link in zip(ws, links)]
-        plain = [w.lower().strip(STRIP) for w in ws]
-        # A long segment stands for itself: it is too much text to be judged by the company it keeps.
-        group = groups[shape(ws, sum(links)) if len(ws) <= 8 else (len(groups), -1, -1)]
-        group[0] += sum(size)
-        group[1] += sum(n for n, link, w in zip(size, links, plain) if link or w in keywords.strong)
-        group[2] += sum(n for n, link, w in zip(size, links, plain) if not link and w in keywords.weak)
-        total += sum(size)
-    bad = 0
-    for at, (n, hits, weak) in groups.items():
-        if hits >= rules.beside * n and hits + weak >= (rules.dense if at[1] >= 0 else rules.dense_long) * n:
-            bad += n
-    return bad / total if total else 0.0
+def segments(text: str) -> Iterator[tuple[str, int]]:
+    """(segment, separator that ends it) of a text; commas cut where the pieces between them are short."""
+    parts = CUT.split(text)
+    for at in range(0, len(parts), 2):
+        piece = parts[at]
+        if not piece:
+            continue
+        sep = _separator(parts[at + 1]) if at + 1 < len(parts) else LINE
+        if sep != STOP and piece.rstrip()[-1:] in ".!?":
+            sep = STOP
+        if piece.count(",") >= 3:
+            short = COMMA.split(piece)
+            if len(short) > 3 and len(piece.split()) <= 6 * len(short):
+                for s in short:
+                    yield s, COMMAS
+                continue
+        yield piece, sep
 
 
-RUN = re.compile(r"[^\W_]+")
+@dataclass(frozen=True)
+class Shape:
+    """words: the number of words, 1 to 3 and 4 to 8 as one each; capitals, links, numerals: none, some or
+    most (of numerals a fifth); term: a word with a colon that the rest explains; odd: a run of words
+    that comes back to the same words, as no sentence does."""
 
+    words: int
+    capitals: int
+    separator: int
+    links: int
+    numerals: int
+    term: bool
+    odd: bool
 
-def _tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(different words in lower case, number of each word in order, first word of each text)."""
-    split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
-    coded = pc.dictionary_encode(split.flatten())
-    offsets = split.offsets.to_numpy()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), offsets - offsets[0]
+    def sentence(self, run: int) -> bool:
+        return self.links < 2 and not self.odd and 3 < self.words <= run and (self.separator == STOP or self.term)
 
 
-def _frame(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+def _degree(part: int, whole: int) -> int:
+    return 0 if not part else 1 if part < whole else 2
 
 
-def _slug_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w, n): the words that addresses and tags are made of; only texts that may hold some are cut into words."""
-    for batch in batches:
-        texts = batch.column("t")
-        some = texts.filter(pc.match_substring_regex(texts, SLUG_HINT))
-        slugs: Counter[str] = Counter()
-        if len(some):
-            words, codes, _ = _tokens(some)
-            for w, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
-                if "/" in w or ":" in w:
-                    for found in SLUG.findall(clean(w)):
-                        slugs.update({p: n for p in PART.split(found) if p.isalpha()})
-        yield _frame({"w": (list(slugs), pa.string()), "n": (list(slugs.values()), pa.int64())})
-
-
-def _ordinary_words(batches: Iterator[pa.RecordBatch], slugs: frozenset[str], rules: SpamRules) -> Iterator[pa.RecordBatch]:
-    """(w, n): how often words stand on pages with a small share of links and words of addresses."""
-    for batch in batches:
-        words, codes, first = _tokens(batch.column("t"))
-        counts: Counter[str] = Counter()
-        if len(codes):
-            class_ = np.fromiter((w.strip(STRIP) in slugs or is_link(w) for w in words), dtype=np.int64, count=len(words))
-            upto = np.r_[0, np.cumsum(class_[codes])]
-            size = np.diff(first)
-            ordinary = upto[first[1:]] - upto[first[:-1]] < 0.3 * size
-            often = np.bincount(codes[np.repeat(ordinary, size)], minlength=len(words))
-            for at in np.flatnonzero(often):
-                bare = words[at].strip(STRIP)
-                if bare.isalpha():
-                    counts[bare] += int(often[at])
-        yield _frame({"w": (list(counts), pa.string()), "n": (list(counts.values()), pa.int64())})
-
-
-def _likely(batch: pa.RecordBatch, keywords: Keywords, firm: float, any_: float, kinds: int = 1) -> Iterator[tuple[int, str]]:
-    """The texts (place, text) that can have shares of `firm` strong keywords and links, and `any_` of all
-    keywords and links, among their words, and that many kinds of strong ones; the shares are exact but for
-    words with odd characters or marks inside, which count as keywords."""
-    texts = batch.column("t")
-    words, codes, first = _tokens(texts)
-    if not len(codes):
-        return
-    size, strong, weak = (np.zeros(len(words), dtype=np.int64) for _ in range(3))
-    for i, w in enumerate(words):
-        if is_link(w):
-            size[i] = strong[i] = len(RUN.findall(w))
+def reduced(segment: str) -> tuple[Shape, int, list[str]] | None:
+    """(shape, size, plain words) of a segment; None without a word. An address counts as many words as it
+    has runs of letters and digits; numerals aren't among the plain words."""
+    ws = [w for w in segment.split() if w.isalpha() or any(map(str.isalnum, w))]
+    n = len(ws)
+    if not n:
+        return None
+    capitals = numerals = linked = size = 0
+    term = False
+    words: list[str] = []
+    for w in ws:
+        if not w.isalpha() and not LINK_SIGNS.isdisjoint(w) and is_link(w):
+            parts = RUN.findall(w.lower())
+            linked += len(parts)
+            size += len(parts)
+            words += filter(str.isalpha, parts)
             continue
-        bare = w.strip(STRIP)
-        size[i] = any(map(str.isalnum, w))
-        if bare in keywords.strong or "<br" in w or not w.isascii() and ODD.search(w):
-            strong[i] = 1
-        elif bare in keywords.weak:
-            weak[i] = 1
-    along = lambda x: np.diff(np.r_[0, np.cumsum(x[codes])][first])
-    n, hits, more = along(size), along(strong), along(weak)
-    for at in np.flatnonzero((hits > 0) & (hits >= firm * n) & (hits + more >= any_ * n)):
-        if kinds == 1 or len({c for c in codes[first[at] : first[at + 1]].tolist() if strong[c]}) >= kinds:
-            yield int(at), texts[int(at)].as_py()
-
-
-def _grow(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRules) -> Iterator[pa.RecordBatch]:
-    """(w, n, pages): words of the keyword-like pages' short segments; w is empty for the pages themselves."""
+        size += 1
+        capitals += w[0].isupper()
+        bare = w.lower()
+        if not w.isalpha():
+            term = term or w[-1] == ":"
+            bare = bare.strip(STRIP)
+            if any(map(str.isdigit, bare)):
+                numerals += 1
+                continue
+        words.append(bare)
+    odd = len(words) >= 8 and not linked and 10 * len(set(words)) <= 7 * len(words)
+    shape = Shape(n if n > 8 else 1 if n <= 3 else 4, _degree(2 * capitals, n + 1), -1, _degree(2 * linked, size), _degree(5 * numerals, n), term, odd)
+    return shape, size, words
+
+
+def again(words: list[str], span: int) -> float:
+    """The mean share of words that repeat others within windows of `span`; 0 for less than 8 words."""
+    m = len(words)
+    if m < 8:
+        return 0.0
+    span = min(span, m)
+    seen = Counter(words[:span])
+    live = total = len(seen)
+    for i in range(span, m):
+        old, new = words[i - span], words[i]
+        if old != new:
+            seen[old] -= 1
+            live -= not seen[old]
+            live += not seen[new]
+            seen[new] += 1
+        total += live
+    return 1 - total / (m - span + 1) / span
+
+
+def page_shapes(text: str, rules: SpamRules) -> list[tuple[Shape, int, int, list[str]]]:
+    """(shape, state, size, plain words) of each group of a page's segments."""
+    groups: dict[Shape, list] = {}
+    for piece, sep in segments(clean(text)):
+        made = reduced(piece)
+        if made is None:
+            continue
+        shape, size, words = made
+        shape = Shape(shape.words, shape.capitals, sep, shape.links, shape.numerals, shape.term, shape.odd)
+        group = groups.get(shape)
+        if group is None:
+            groups[shape] = [size, words]
+        else:
+            group[0] += size
+            group[1] += words
+    out = []
+    for shape, (size, words) in groups.items():
+        if shape.links == 2:
+            state = LINKS
+        else:
+            plain = not shape.sentence(rules.run) and not shape.numerals and not shape.term
+            state = STUFFED if plain and again(words, rules.span) >= rules.again else 0
+        out.append((shape, state, size, words))
+    return out
+
+
+def dominated(groups: list[tuple[Shape, int, int, list[str]]], rules: SpamRules) -> bool:
+    """Whether `few` stuffed shapes hold more than `page` of the page's words."""
+    largest = sorted((size for _, state, size, _ in groups if state), reverse=True)[: rules.few]
+    return sum(largest) > rules.page * sum(size for _, _, size, _ in groups)
+
+
+# A page's groups, packed: n of them, int32 each: size, state, number of words; then the words' buckets.
+PACKED = "d long, sure boolean, groups binary, words binary, w array<int>, n array<long>, hits array<long>"
+COUNTS = pa.schema([("d", pa.int64()), ("sure", pa.bool_()), ("groups", pa.binary()), ("words", pa.binary()), ("w", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())), ("hits", pa.list_(pa.int64()))])
+
+
+def _batch(ids: list, sure: list, groups: list, words: list, counts: np.ndarray | None, hits: np.ndarray | None) -> pa.RecordBatch:
+    """Rows of pages, and one (d is null) with the counts of words in all and in stuffed shapes."""
+    if counts is not None:
+        at = np.flatnonzero(counts)
+        ids, sure, groups, words = [*ids, None], [*sure, None], [*groups, None], [*words, None]
+        blank = [None] * (len(ids) - 1)
+        lists = [[*blank, x] for x in (at.astype(np.int32), counts[at], hits[at])]
+    else:
+        lists = [[None] * len(ids)] * 3
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip([ids, sure, groups, words, *lists], COUNTS.types)], schema=COUNTS)
+
+
+def _shapes(batches: Iterator[pa.RecordBatch], rules: SpamRules) -> Iterator[pa.RecordBatch]:
+    """The pages' groups, and the counts of words: in all, and in the stuffed shapes of dominated pages."""
+    known: dict[str, int] = {}
+    mask = rules.buckets - 1
+    counts, hits = np.zeros(rules.buckets, dtype=np.int64), np.zeros(rules.buckets, dtype=np.int64)
     for batch in batches:
-        counts: Counter[str] = Counter()
-        pages: Counter[str] = Counter()
-        for _, text in _likely(batch, keywords, rules.hint, rules.hint, rules.kinds):
-            pieces = [[w.lower().strip(STRIP) for w in ws if not is_link(w)] for ws in segments(clean(text))]
-            short = [w for ws in pieces if len(ws) <= rules.short for w in ws]
-            hits = [w for w in short if w in keywords.strong]
-            if len(short) * 2 > sum(map(len, pieces)) and len(set(hits)) >= rules.kinds:
-                counts.update(w for w in short if w.isalpha())
-                pages.update({w for w in short if w.isalpha()} | {""})
-        names = list(pages)
-        yield _frame({"w": (names, pa.string()), "n": ([counts[w] for w in names], pa.int64()), "pages": ([pages[w] for w in names], pa.int64())})
-
-
-def corpus_keywords(docs: DataFrame, rules: SpamRules) -> Keywords:
-    """The corpus's keywords; docs has a column t of whole texts. No word has to make up a share of the corpus,
-    so that one large family of pages doesn't hide the words of others. What is collected are different
-    words of addresses and tags, and of keyword-like pages, seen `seen` times: it grows as a vocabulary does."""
-    total = lambda df: df.groupBy("w").agg(F.sum("n").alias("n"))
-    slugs = cut(total(docs.mapInArrow(_slug_words, "w string, n long")))
-    n_slug = slugs.agg(F.sum("n")).first()[0]
-    if not n_slug:
-        return Keywords()
-    parts = {r["w"]: r["n"] for r in slugs.filter(F.col("n") >= rules.seen).collect()}
-    known = frozenset(parts)
-    ordinary = cut(total(docs.mapInArrow(lambda it: _ordinary_words(it, known, rules), "w string, n long")))
-    n_all = (ordinary.agg(F.sum("n")).first()[0] or 0) + 1
-    there = {r["w"]: r["n"] for r in ordinary.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in parts] or [("",)], "w string")), "w").collect()}
-    strong = frozenset(w for w, n in parts.items() if n / n_slug >= rules.strong * there.get(w, 0) / n_all)
-    found = Keywords(strong, known - strong)
-    if not strong:
-        return found
-    near = cut(docs.mapInArrow(lambda it: _grow(it, found, rules), "w string, n long, pages long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")))
-    n_near = near.agg(F.sum("n")).first()[0]
-    if not n_near:
-        return found
-    often = near.filter((F.col("w") != "") & (F.col("pages") >= rules.seen)).join(ordinary.withColumnRenamed("n", "m"), "w", "left")
-    new = [r["w"] for r in often.fillna(0, ["m"]).filter((F.col("n") >= rules.only * (F.col("n") + F.col("m"))) & (F.col("n") / n_near >= rules.lift * F.col("m") / n_all)).collect()]
-    strong = strong | frozenset(new)
-    return Keywords(strong, found.weak - strong)
-
-
-def _judge(batches: Iterator[pa.RecordBatch], keywords: Keywords, rules: SpamRules) -> Iterator[pa.RecordBatch]:
+        ids, sure, groups, words = [], [], [], []
+        for d, text in zip(batch.column("d").to_pylist(), batch.column("t").to_pylist()):
+            found = page_shapes(text, rules)
+            if not found:
+                continue
+            flat = []
+            for _, _, _, ws in found:
+                for w in ws:
+                    b = known.get(w)
+                    if b is None:
+                        b = known[w] = zlib.crc32(w.encode("utf-8", "replace")) & mask
+                    flat.append(b)
+            if len(known) > 1_000_000:
+                known.clear()
+            at = np.array(flat, dtype=np.int32)
+            head = np.array([(size, state, len(ws)) for _, state, size, ws in found], dtype=np.int32)
+            np.add.at(counts, at, 1)
+            is_sure = dominated(found, rules)
+            if is_sure:
+                np.add.at(hits, at[np.repeat(head[:, 1] > 0, head[:, 2])], 1)
+            ids.append(d), sure.append(is_sure), groups.append(head.tobytes()), words.append(at.tobytes())
+        yield _batch(ids, sure, groups, words, None, None)
+    if counts.any():
+        yield _batch([], [], [], [], counts, hits)
+
+
+def _judged(batch: pa.RecordBatch, odds: np.ndarray, rules: SpamRules) -> Iterator[tuple[int, np.ndarray, np.ndarray, float]]:
+    """(d, words' buckets, whether each lies in a stuffed shape, share of the page's words that do)."""
+    for d, sure, groups, words in zip(*(batch.column(c).to_pylist() for c in ("d", "sure", "groups", "words"))):
+        head = np.frombuffer(groups, dtype=np.int32).reshape(-1, 3)
+        at = np.frombuffer(words, dtype=np.int32)
+        size, state, n = head[:, 0].astype(np.int64), head[:, 1], head[:, 2]
+        upto = np.r_[0, np.cumsum(odds[at])][np.r_[0, np.cumsum(n)]]
+        stuffed = ((upto[1:] - upto[:-1]) > rules.odds * np.maximum(n, 1)) | (state == LINKS) | (sure & (state > 0))
+        yield d, at, np.repeat(stuffed, n), float(size[stuffed].sum() / size.sum())
+
+
+def _recount(batches: Iterator[pa.RecordBatch], packed: bytes, rules: SpamRules) -> Iterator[pa.RecordBatch]:
+    odds = _table(packed, rules)
+    hits = np.zeros(rules.buckets, dtype=np.int64)
     for batch in batches:
-        ids, shares = [], []
-        # Groups of keyword shapes hold `page` of a flagged page's words, and have these shares of keywords.
-        for at, text in _likely(batch, keywords, rules.beside * rules.page, min(rules.dense, rules.dense_long) * rules.page):
-            share = keyword_share(clean(text), keywords, rules)
+        for _, at, stuffed, share in _judged(batch, odds, rules):
             if share > rules.page:
-                ids.append(batch.column("d")[at].as_py()), shares.append(share)
-        yield _frame({"d": (ids, pa.int64()), "share": (shares, pa.float64())})
+                np.add.at(hits, at[stuffed], 1)
+    if hits.any():
+        yield _batch([], [], [], [], hits, hits).select(["w", "hits"])
+
+
+def _verdict(batches: Iterator[pa.RecordBatch], packed: bytes, rules: SpamRules) -> Iterator[pa.RecordBatch]:
+    odds = _table(packed, rules)
+    for batch in batches:
+        found = [(d, share) for d, _, _, share in _judged(batch, odds, rules) if share > rules.page]
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array([s for _, s in found], pa.float64())], names=["d", "share"])
+
+
+#: Steps of log odds that a table holds.
+STEP = 0.05
+
+
+def _table(packed: bytes, rules: SpamRules) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype=np.int8) * STEP
+
+
+def _odds(counts: DataFrame, hits: DataFrame, rules: SpamRules) -> bytes:
+    """Log odds of each bucket's words in stuffed shapes against elsewhere, one byte a bucket, packed.
+
+    At most `buckets` small numbers reach the driver, however large the corpus and its vocabulary."""
+    both = counts.join(hits, "w", "left").fillna(0, ["hits"])
+    all_, stuffed = both.agg(F.sum("n"), F.sum("hits")).first()
+    table = np.zeros(rules.buckets, dtype=np.int8)
+    if stuffed and all_ > stuffed:
+        # A word never seen has odds 0; one that is, at most those of its counts.
+        ratio = stuffed / (all_ - stuffed)
+        log = F.log((F.col("hits") + F.lit(ratio)) / (F.col("n") - F.col("hits") + F.lit(1.0)) / F.lit(ratio))
+        steps = F.round(F.greatest(F.least(log, F.lit(rules.most)), F.lit(-rules.most)) / F.lit(STEP)).cast("byte")
+        rows = both.select("w", steps.alias("s")).filter("s <> 0").toArrow()
+        table[rows.column("w").to_numpy()] = rows.column("s").to_numpy()
+    return zlib.compress(table.tobytes(), 1)
 
 
 def find_spam(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: SpamRules | None = None) -> DataFrame:
-    """(doc_id, keyword_share) of the documents more than rules.page of whose words are keywords, links or
-    tags, or phrases made from them.
-
-    Whole texts are read four times: for addresses, to count words, to grow the keywords, and for the verdict. What
-    reaches the driver and the executors are keywords, each once: a vocabulary, not a share of the rows. Null and empty
-    texts, and texts without words, aren't flagged; null ids are passed over; of repeated ids the larger
-    share is given. A corpus without addresses or tags has no keywords; its pages are judged by links
-    alone. Other columns are ignored, whatever their names; an empty table gives no row.
+    """(doc_id, stuffed_share) of the documents more than rules.page of whose words lie in stuffed shapes.
+
+    Whole texts are read once and reduced to shapes and hashed words, about four bytes a word, written to
+    the shared folder; the rounds read those. Nothing is shuffled but counts of at most rules.buckets
+    buckets of words, summed per partition first, and the table sent to executors has a byte a bucket:
+    its size is fixed whatever the corpus. Words that share a bucket share its odds; with 2^21 buckets
+    rare words give way to common ones, which decide.
+
+    Null and empty texts, and texts without words, aren't flagged; null ids are passed over; of repeated
+    ids the larger share is given. Without any page dominated by stuffed shapes no word has odds, and
+    links alone decide. Other columns are ignored, whatever their names; an empty table gives no row.
     """
     rules = rules or SpamRules()
     docs = documents.select(F.col(f"`{doc_id}`").cast("long").alias("d"), F.col(f"`{text}`").alias("t")).filter("d is not null and t is not null")
-    keywords = corpus_keywords(docs, rules)
-    found = docs.mapInArrow(lambda it: _judge(it, keywords, rules), "d long, share double")
-    return found.groupBy("d").agg(F.max("share").alias("s")).select(F.col("d").alias(doc_id), F.col("s").alias("keyword_share"))
+    made = cut(docs.mapInArrow(lambda it: _shapes(it, rules), PACKED))
+    pages = made.filter("d is not null").select("d", "sure", "groups", "words")
+    each = made.filter("d is null").select(F.explode(F.arrays_zip("w", "n", "hits")).alias("x")).select("x.w", "x.n", "x.hits")
+    sums = cut(each.groupBy("w").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")))
+    counts, hits = sums.select("w", "n"), sums.select("w", "hits")
+    for _ in range(rules.rounds - 1):
+        packed = _odds(counts, hits, rules)
+        found = pages.mapInArrow(lambda it, p=packed: _recount(it, p, rules), "w array<int>, hits array<long>")
+        hits = found.select(F.explode(F.arrays_zip("w", "hits")).alias("x")).select("x.w", "x.hits").groupBy("w").agg(F.sum("hits").alias("hits"))
+    packed = _odds(counts, hits, rules)
+    flagged = pages.mapInArrow(lambda it: _verdict(it, packed, rules), "d long, share double")
+    return flagged.groupBy("d").agg(F.max("share").alias("s")).select(F.col("d").alias(doc_id), F.col("s").alias("stuffed_share"))
