@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +52,10 @@ ADDRESS = re.compile(r"://|www\.|\]\(|\[url|href=|\.(?:com|org|net|info|biz|shop
 MARKED = re.compile(r"^[|*•·»>-]*(?:#[^\W\d_]|tags?:\S)", re.I)
 #: Signs of which every address or tag has one.
 LINK_SIGNS = frozenset("/.#:[]=")
-# Where a line is cut besides its ends: signs between blanks, breaks, ends of sentences.
-CUT = re.compile(r"(\s*(?:<br\s*/?>\s*)+|\s*[\r\n]+\s*|\s[|»•·*>–-]+\s|\s*;\s+|(?<=[.!?])\s+)")
-COMMA = re.compile(r"\s*,\s+")
+# Where a line is cut: at signs between blanks, at semicolons, and after the ends of sentences.
+CUT = re.compile(r"(\s(?:(?<=[.!?]\s)\s*|[|»•·*>–-]+\s)|;\s+)")
+BREAK = re.compile(r"<br\s*/?>|[\r\v\f\x85\u2028\u2029]")
+COMMA = re.compile(r",\s+")
 STRIP = ".,;:!?()[]{}*#|»•·<>\"'`~_-–/\\"
 ODD = re.compile("[Ͱ-ӿ​-‏­⁠﻿]")
 RUN = re.compile(r"[^\W_]+")
@@ -72,34 +74,33 @@ def is_link(word: str) -> bool:
     return not LINK_SIGNS.isdisjoint(word) and bool(ADDRESS.search(word) or MARKED.search(word))
 
 
-def _separator(between: str) -> int:
-    if "\n" in between or "\r" in between or "<" in between:
-        return LINE
-    sign = between.strip()
-    return STOP if not sign else SEMICOLON if sign == ";" else SIGN
-
-
-def segments(text: str) -> Iterator[tuple[str, int]]:
-    """(segment, separator that ends it) of a text; commas cut where the pieces between them are short."""
-    parts = CUT.split(text)
-    for at in range(0, len(parts), 2):
-        piece = parts[at]
-        if not piece:
-            continue
-        sep = _separator(parts[at + 1]) if at + 1 < len(parts) else LINE
-        if sep != STOP and piece.rstrip()[-1:] in ".!?":
-            sep = STOP
-        if piece.count(",") >= 3:
-            short = COMMA.split(piece)
-            if len(short) > 3 and len(piece.split()) <= 6 * len(short):
-                for s in short:
-                    yield s, COMMAS
+def segments(text: str) -> Iterator[tuple[list[str], int]]:
+    """(words as blanks part them, separator that ends them) of each segment of a text; commas cut where
+    the pieces between them are short."""
+    for line in BREAK.sub("\n", text).split("\n"):
+        parts = CUT.split(line)
+        last = len(parts) - 1
+        for at in range(0, last + 1, 2):
+            piece = parts[at]
+            ws = piece.split()
+            if not ws:
                 continue
-        yield piece, sep
-
-
-@dataclass(frozen=True)
-class Shape:
+            if ws[-1][-1] in ".!?":
+                sep = STOP
+            elif at == last:
+                sep = LINE
+            else:
+                sep = SEMICOLON if parts[at + 1][0] == ";" else SIGN
+            if piece.count(",") >= 3:
+                short = COMMA.split(piece)
+                if len(short) > 3 and len(ws) <= 6 * len(short):
+                    for s in short:
+                        yield s.split(), COMMAS
+                    continue
+            yield ws, sep
+
+
+class Shape(NamedTuple):
     """words: the number of words, 1 to 3 and 4 to 8 as one each; capitals, links, numerals: none, some or
     most (of numerals a fifth); term: a word with a colon that the rest explains; odd: a run of words
     that comes back to the same words, as no sentence does."""
@@ -116,43 +117,63 @@ class Shape:
         return self.links < 2 and not self.odd and 3 < self.words <= run and (self.separator == STOP or self.term)
 
 
+#: Bits of each count in a word's code.
+BITS = 40
+WORD, SIZE, CAPITAL, NUMERAL, LINKED, TERM = (1 << BITS * i for i in range(6))
+LOW = WORD * ((1 << BITS) - 1)
+
+
+class Lexicon(dict):
+    """What each word, as blanks part them, adds to a segment: (its counts, added up in one number; buckets
+    of its plain words). An address counts as many words as it has runs of letters and digits;
+    numerals aren't among the plain words. At most `most` words are remembered."""
+
+    def __init__(self, buckets: int, most: int = 500_000):
+        super().__init__()
+        self.mask, self.most = buckets - 1, most
+
+    def __missing__(self, w: str) -> tuple[int, tuple[int, ...]]:
+        if len(self) >= self.most:
+            self.clear()
+        self[w] = made = self._made(w)
+        return made
+
+    def _bucket(self, w: str) -> int:
+        return zlib.crc32(w.encode("utf-8", "replace")) & self.mask
+
+    def _made(self, w: str) -> tuple[int, tuple[int, ...]]:
+        if w.isalpha():
+            return WORD + SIZE + (CAPITAL if w[0].isupper() else 0), (self._bucket(w.lower()),)
+        if not any(map(str.isalnum, w)):
+            return 0, ()
+        if is_link(w):
+            parts = RUN.findall(w.lower())
+            return WORD + (SIZE + LINKED) * len(parts), tuple(self._bucket(p) for p in parts if p.isalpha())
+        code = WORD + SIZE + (CAPITAL if w[0].isupper() else 0) + (TERM if w[-1] == ":" else 0)
+        bare = w.lower().strip(STRIP)
+        return (code + NUMERAL, ()) if any(map(str.isdigit, bare)) else (code, (self._bucket(bare),))
+
+
 def _degree(part: int, whole: int) -> int:
     return 0 if not part else 1 if part < whole else 2
 
 
-def reduced(segment: str) -> tuple[Shape, int, list[str]] | None:
-    """(shape, size, plain words) of a segment; None without a word. An address counts as many words as it
-    has runs of letters and digits; numerals aren't among the plain words."""
-    ws = [w for w in segment.split() if w.isalpha() or any(map(str.isalnum, w))]
-    n = len(ws)
-    if not n:
+def reduced(ws: list[str], sep: int, lexicon: Lexicon) -> tuple[Shape, int, list[int]] | None:
+    """(shape, size, buckets of the plain words) of a segment; None without a word."""
+    infos = [lexicon[w] for w in ws]
+    code = sum([i[0] for i in infos])
+    if not code:
         return None
-    capitals = numerals = linked = size = 0
-    term = False
-    words: list[str] = []
-    for w in ws:
-        if not w.isalpha() and not LINK_SIGNS.isdisjoint(w) and is_link(w):
-            parts = RUN.findall(w.lower())
-            linked += len(parts)
-            size += len(parts)
-            words += filter(str.isalpha, parts)
-            continue
-        size += 1
-        capitals += w[0].isupper()
-        bare = w.lower()
-        if not w.isalpha():
-            term = term or w[-1] == ":"
-            bare = bare.strip(STRIP)
-            if any(map(str.isdigit, bare)):
-                numerals += 1
-                continue
-        words.append(bare)
+    words = [b for i in infos for b in i[1]]
+    n, size = code & LOW, code >> BITS & LOW
+    capitals = code >> 2 * BITS & LOW
+    rest = code >> 3 * BITS
+    numerals, linked, term = (rest & LOW, rest >> BITS & LOW, rest >> 2 * BITS > 0) if rest else (0, 0, False)
     odd = len(words) >= 8 and not linked and 10 * len(set(words)) <= 7 * len(words)
-    shape = Shape(n if n > 8 else 1 if n <= 3 else 4, _degree(2 * capitals, n + 1), -1, _degree(2 * linked, size), _degree(5 * numerals, n), term, odd)
-    return shape, size, words
+    return Shape(n if n > 8 else 1 if n <= 3 else 4, _degree(2 * capitals, n + 1), sep, _degree(2 * linked, size), _degree(5 * numerals, n), term, odd), size, words
 
 
-def again(words: list[str], span: int) -> float:
+def again(words: list[int], span: int) -> float:
     """The mean share of words that repeat others within windows of `span`; 0 for less than 8 words."""
     m = len(words)
     if m < 8:
@@ -171,15 +192,15 @@ def again(words: list[str], span: int) -> float:
     return 1 - total / (m - span + 1) / span
 
 
-def page_shapes(text: str, rules: SpamRules) -> list[tuple[Shape, int, int, list[str]]]:
-    """(shape, state, size, plain words) of each group of a page's segments."""
+def page_shapes(text: str, rules: SpamRules, lexicon: Lexicon | None = None) -> list[tuple[Shape, int, int, list[int]]]:
+    """(shape, state, size, buckets of the plain words) of each group of a page's segments."""
+    lexicon = Lexicon(rules.buckets) if lexicon is None else lexicon
     groups: dict[Shape, list] = {}
-    for piece, sep in segments(clean(text)):
-        made = reduced(piece)
+    for ws, sep in segments(clean(text)):
+        made = reduced(ws, sep, lexicon)
         if made is None:
             continue
         shape, size, words = made
-        shape = Shape(shape.words, shape.capitals, sep, shape.links, shape.numerals, shape.term, shape.odd)
         group = groups.get(shape)
         if group is None:
             groups[shape] = [size, words]
@@ -197,7 +218,7 @@ def page_shapes(text: str, rules: SpamRules) -> list[tuple[Shape, int, int, list
     return out
 
 
-def dominated(groups: list[tuple[Shape, int, int, list[str]]], rules: SpamRules) -> bool:
+def dominated(groups: list[tuple[Shape, int, int, list[int]]], rules: SpamRules) -> bool:
     """Whether `few` stuffed shapes hold more than `page` of the page's words."""
     largest = sorted((size for _, state, size, _ in groups if state), reverse=True)[: rules.few]
     return sum(largest) > rules.page * sum(size for _, _, size, _ in groups)
@@ -222,31 +243,23 @@ def _batch(ids: list, sure: list, groups: list, words: list, counts: np.ndarray
 
 def _shapes(batches: Iterator[pa.RecordBatch], rules: SpamRules) -> Iterator[pa.RecordBatch]:
     """The pages' groups, and the counts of words: in all, and in the stuffed shapes of dominated pages."""
-    known: dict[str, int] = {}
-    mask = rules.buckets - 1
+    lexicon = Lexicon(rules.buckets)
     counts, hits = np.zeros(rules.buckets, dtype=np.int64), np.zeros(rules.buckets, dtype=np.int64)
     for batch in batches:
-        ids, sure, groups, words = [], [], [], []
+        ids, sure, groups, words, seen = [], [], [], [], []
         for d, text in zip(batch.column("d").to_pylist(), batch.column("t").to_pylist()):
-            found = page_shapes(text, rules)
+            found = page_shapes(text, rules, lexicon)
             if not found:
                 continue
-            flat = []
-            for _, _, _, ws in found:
-                for w in ws:
-                    b = known.get(w)
-                    if b is None:
-                        b = known[w] = zlib.crc32(w.encode("utf-8", "replace")) & mask
-                    flat.append(b)
-            if len(known) > 1_000_000:
-                known.clear()
-            at = np.array(flat, dtype=np.int32)
+            at = np.array([b for _, _, _, ws in found for b in ws], dtype=np.int32)
             head = np.array([(size, state, len(ws)) for _, state, size, ws in found], dtype=np.int32)
-            np.add.at(counts, at, 1)
+            seen.append(at)
             is_sure = dominated(found, rules)
             if is_sure:
                 np.add.at(hits, at[np.repeat(head[:, 1] > 0, head[:, 2])], 1)
             ids.append(d), sure.append(is_sure), groups.append(head.tobytes()), words.append(at.tobytes())
+        if seen:
+            np.add.at(counts, np.concatenate(seen), 1)
         yield _batch(ids, sure, groups, words, None, None)
     if counts.any():
         yield _batch([], [], [], [], counts, hits)
