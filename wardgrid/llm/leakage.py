@@ -1,15 +1,18 @@
-"""Evaluation passages leaking into a corpus, by greedy string tiling with Karp-Rabin seeds.
-
-Windows of the test passages' letters are hashed at every place and held in a table; windows of each
-document are hashed at every fourth place. Shared windows are seeds. For each document and item with
-seeds, the longest common runs of words are marked first, without overlap, and joined over disturbed
-words; what covers enough consecutive words of the item is a leak.
+"""Evaluation passages leaking into a corpus, by greedy string tiling.
+
+Shared tokens come first: every stretch of `least` words of a test passage is a key, its letters without
+what stands between them, and the corpus is joined with those keys by rolling Karp-Rabin hashes. A
+document and an item that share one are tiled: the longest match of letters that isn't marked yet is
+found by running Karp-Rabin, with ever shorter search lengths, and marked in both, until no match of
+`tile` letters is left. The share of the item that tiles cover tells of leaks in any order; a check
+along the words tells how many of the item's words stand there consecutively and in order.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,100 +24,169 @@ from wardgrid.llm.textnorm import doc_words, letters, plain, spaced_words
 
 @dataclass(frozen=True)
 class LeakRules:
-    """words: consecutive words of the item, as blanks part them, that must be covered; places: disturbed places allowed in
-    them; window: letters in a seed; stride: places between a document's windows; block: letters of
-    items held in one table (about 100 bytes of memory a letter)."""
+    """words: consecutive words of the item, as blanks part them, that must be covered; places: disturbed
+    places allowed in them; tile: letters of the shortest tile; block: letters of items whose keys are
+    held at once (about 20 bytes a letter)."""
 
     words: int = 24
     places: int = 3
-    window: int = 16
-    stride: int = 4
-    block: int = 1_000_000
-
-
-def _window_hashes(data: np.ndarray, window: int, stride: int) -> np.ndarray:
-    """Hashes of data[i : i + window] for i = 0, stride, ...: a polynomial over its 8-byte words."""
-    n = (len(data) - window) // stride + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    total = np.zeros(n, dtype=np.uint64)
-    raw = np.ascontiguousarray(data)
-    for at in range(0, window, 8):
-        piece = np.lib.stride_tricks.as_strided(raw[at:].view(), shape=(n, 8), strides=(stride, 1))
-        word = np.ascontiguousarray(piece).view(np.uint64)[:, 0]
-        with np.errstate(over="ignore"):
-            total = (total ^ word) * np.uint64(0x9E3779B97F4A7C15)
-            total ^= total >> np.uint64(29)
-    return total
-
-
-@dataclass
-class SeedTable:
-    """The windows of a block of items: a bit table to pass over other windows, and the places of each hash."""
-
-    rules: LeakRules
-    ids: list[int]
-    words: list[list[str]]
-    hashes: np.ndarray = field(init=False)
-    item: np.ndarray = field(init=False)
-    place: np.ndarray = field(init=False)
-    bits: np.ndarray = field(init=False)
-    starts: list[np.ndarray] = field(init=False)
-    least: np.ndarray = field(init=False)
-
-    def __post_init__(self) -> None:
-        hashes, items, places, self.starts = [], [], [], []
-        for k, ws in enumerate(self.words):
-            text = np.frombuffer("".join(ws).encode(), dtype=np.uint8)
-            h = _window_hashes(text, self.rules.window, 1)
-            hashes.append(h)
-            items.append(np.full(len(h), k, dtype=np.int32))
-            places.append(np.arange(len(h), dtype=np.int32))
-            self.starts.append(np.cumsum([0, *map(len, ws)]))
-        h = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.item, self.place = h[order], np.concatenate(items)[order] if hashes else h.astype(np.int32), np.concatenate(places)[order] if hashes else h.astype(np.int32)
-        self.bits = np.zeros(1 << 22, dtype=bool)
-        self.bits[(self.hashes >> np.uint64(42)).astype(np.int64)] = True
-        # The seeds of a leak span the letters of half its words at least, less half a window.
-        half, window = self.rules.words // 2, self.rules.window
-        self.least = np.array([min((s[half:] - s[:-half]).min() - window // 2, s[-1]) if len(s) > self.rules.words else 1 << 30 for s in self.starts], dtype=np.int64)
-
-    def seeds(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(item, first place in the item, first place in the document, letters) of each run of seeds, for
-        items whose seeds along one diagonal lie as far apart as a leak's."""
-        none = np.zeros(0, dtype=np.int64)
-        rules = self.rules
-        h = _window_hashes(data, rules.window, rules.stride)
-        at = np.flatnonzero(self.bits[(h >> np.uint64(42)).astype(np.int64)])
-        if not len(at):
-            return none, none, none, none
-        h = h[at]
-        low, high = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-        many = high - low
-        if not many.any():
-            return none, none, none, none
-        where = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        there = np.repeat(at * rules.stride, many)
-        item, place = self.item[where].astype(np.int64), self.place[where].astype(np.int64)
-        order = np.lexsort((there, there - place, item))
-        item, place, there = item[order], place[order], there[order]
-        diagonal = there - place
-        # One quotation keeps to a diagonal but for the letters that disturbed places add or take.
-        far = (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > DRIFT)
-        cluster = np.cumsum(np.r_[True, far]) - 1
-        first = np.flatnonzero(np.r_[True, far])
-        span = np.maximum.reduceat(place, first) - np.minimum.reduceat(place, first) + rules.window
-        keep = (span >= self.least[item[first]])[cluster]
-        run = np.r_[True, far | (diagonal[1:] != diagonal[:-1]) | (place[1:] - place[:-1] > rules.window)]
-        run = np.flatnonzero(run)
-        length = np.maximum.reduceat(place, run) - place[run] + rules.window
-        run, length = run[keep[run]], length[keep[run]]
-        return item[run], place[run], there[run], length
-
-
-#: Letters that three words added to a quotation or left out of it come to at most.
-DRIFT = 60
+    tile: int = 12
+    block: int = 4_000_000
+
+    @property
+    def least(self) -> int:
+        """Words of the longest run that any leak has: what `places` words at most leave of it, in places + 1 runs."""
+        return max(1, -(-(self.words - self.places) // (self.places + 1)))
+
+
+# Rolling hashes: sums of letters times powers of BASE, modulo 2^64. BASE is odd, so powers have inverses.
+BASE = 0x9E3779B97F4A7C15
+
+
+class Powers:
+    """BASE^0, BASE^1, ... and their inverses, made as far as they are asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def grown(self, n: int) -> "Powers":
+        while len(self.up) < n:
+            k = len(self.up)
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(BASE, k, 1 << 64))])
+            self.down = np.concatenate([self.down, self.down * np.uint64(pow(BASE, -k, 1 << 64))])
+        return self
+
+
+POWERS = Powers()
+
+
+class Rolling:
+    """Hashes of any stretch of a string of letters, from its sums of letters times powers."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        self.powers = POWERS.grown(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(data * self.powers.up[: len(data)], dtype=np.uint64, out=self.sums[1:])
+
+    def all(self, n: int) -> np.ndarray:
+        """The hash of every stretch of n letters."""
+        many = max(len(self.sums) - n, 0)
+        return (self.sums[n:] - self.sums[:many]) * self.powers.down[:many]
+
+    def at(self, first: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """The hashes of n letters from each place on."""
+        return (self.sums[first + n] - self.sums[first]) * self.powers.down[first]
+
+
+# Letters of a key's beginning that documents are searched for; the longest that fits is taken.
+WINDOWS = (20, 16, 12, 8, 4, 2, 1)
+
+
+class KeyTable:
+    """The keys of a block of items: stretches of `least` words, by the hash of their first letters."""
+
+    def __init__(self, rules: LeakRules, ids: Sequence[int], words: Sequence[Sequence[str]]) -> None:
+        self.rules, self.ids, self.words = rules, list(ids), [list(w) for w in words]
+        self.starts = [np.cumsum([0, *map(len, ws)]) for ws in self.words]
+        self.letters = [np.frombuffer("".join(ws).encode(), dtype=np.uint8) for ws in self.words]
+        rows = []
+        for k, (own, data) in enumerate(zip(self.starts, self.letters)):
+            n = len(own) - rules.least
+            if n > 0:
+                size = own[rules.least :] - own[:n]
+                window = np.array(WINDOWS)[np.argmax(np.array(WINDOWS)[None, :] <= size[:, None], axis=1)]
+                h = Rolling(data)
+                rows.append(np.stack([np.full(n, k), np.arange(n), size, window, h.at(own[:n], window).view(np.int64), h.at(own[:n], size).view(np.int64)]))
+        table = np.concatenate(rows, axis=1) if rows else np.zeros((6, 0), dtype=np.int64)
+        self.parts = {}
+        for w in WINDOWS:
+            mine = table[:, table[3] == w]
+            if mine.shape[1]:
+                begin = mine[4].view(np.uint64)
+                order = np.argsort(begin, kind="stable")
+                bits = np.zeros(1 << 22, dtype=bool)
+                bits[(begin >> np.uint64(42)).astype(np.int64)] = True
+                self.parts[w] = (bits, begin[order], mine[5][order].view(np.uint64), mine[0][order], mine[1][order], mine[2][order])
+
+    def shared(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, its word, place of the letters) of every key that the letters contain."""
+        found = [np.zeros((3, 0), dtype=np.int64)]
+        rolling = Rolling(data)
+        for w, (bits, begin, whole, item, word, size) in self.parts.items():
+            h = rolling.all(w)
+            at = np.flatnonzero(bits[(h >> np.uint64(42)).astype(np.int64)])
+            h = h[at]
+            low, high = np.searchsorted(begin, h, "left"), np.searchsorted(begin, h, "right")
+            many = high - low
+            if not many.any():
+                continue
+            where = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            there = np.repeat(at, many)
+            fits = there + size[where] <= len(data)
+            where, there = where[fits], there[fits]
+            same = rolling.at(there, size[where]) == whole[where]
+            found.append(np.stack([item[where[same]], word[where[same]], there[same]]))
+        return tuple(np.concatenate(found, axis=1))
+
+
+#: Places in b at which a stretch of a is looked for at a time.
+AT_ONCE = 64
+
+
+def _matches(a: Rolling, b: Rolling, free_a: np.ndarray, free_b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in a, in b) of equal stretches of n letters, none of them marked, AT_ONCE at most for each in a."""
+    upto_a, upto_b = np.r_[0, np.cumsum(~free_a)], np.r_[0, np.cumsum(~free_b)]
+    at_a, at_b = np.flatnonzero(upto_a[n:] == upto_a[:-n]), np.flatnonzero(upto_b[n:] == upto_b[:-n])
+    hb = b.all(n)[at_b]
+    order = np.argsort(hb, kind="stable")
+    hb, at_b = hb[order], at_b[order]
+    ha = a.all(n)[at_a]
+    low = np.searchsorted(hb, ha, "left")
+    many = np.minimum(np.searchsorted(hb, ha, "right") - low, AT_ONCE)
+    where = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return np.repeat(at_a, many), at_b[where]
+
+
+def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Greedy string tiling of two strings of letters: (place in a, place in b, length) of the tiles.
+
+    The longest match that no tile has marked in either is marked next (ties: the first in b, then in a),
+    until none of `least` letters is left. Matches are found by running Karp-Rabin: hashes of all
+    unmarked stretches of a search length, which falls by halves when no match of that length is left.
+    Of strings that repeat a stretch more than AT_ONCE times the matches come in turns, so a longest one
+    may be marked in parts.
+    """
+    made: list[tuple[int, int, int]] = []
+    if min(len(a), len(b)) < least:
+        return made
+    ra, rb = Rolling(a), Rolling(b)
+    free_a, free_b = np.ones(len(a), dtype=bool), np.ones(len(b), dtype=bool)
+    n = max(least, 1 << (min(len(a), len(b)).bit_length() - 1))
+    while True:
+        x, y = _matches(ra, rb, free_a, free_b, n)
+        # Stretches that follow each other along one diagonal are one longer match.
+        order = np.lexsort((x, y - x))
+        x, y = x[order], y[order]
+        first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)]) if len(x) else x
+        length = np.diff(np.r_[first, len(x)]) + n - 1
+        heap = list(zip((-length).tolist(), y[first].tolist(), x[first].tolist()))
+        heapq.heapify(heap)
+        while heap:
+            m, j, i = heapq.heappop(heap)
+            both = free_a[i : i - m] & free_b[j : j - m]
+            if both.all():
+                made.append((i, j, -m))
+                free_a[i : i - m] = free_b[j : j - m] = False
+                continue
+            # Tiles have cut it: what is left of it in a row waits its turn.
+            edge = np.flatnonzero(np.diff(np.r_[0, both.astype(np.int8), 0]))
+            for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                if hi - lo >= n:
+                    heapq.heappush(heap, (lo - hi, j + lo, i + lo))
+        if not len(x):
+            if n == least:
+                return made
+            n = max(least, n // 2)
 
 
 def _run(a: Sequence[str], b: Sequence[str], x: int, y: int, step: int) -> Iterator[tuple[int, int]]:
@@ -151,6 +223,8 @@ def _extend(a: Sequence[str], b: Sequence[str], i: int, j: int, step: int, place
                     glued = (p[0] == q[0] if step > 0 else p[-1] == q[-1]) and _glued(a, b, x, y, step)
                     if not glued:
                         break
+                    # Words parted otherwise may be other words by chance: a disturbance here stays open.
+                    after.update(((x + step, y + step), (x + step, y), (x, y + step)))
                     x, y = x + step * glued[0], y + step * glued[1]
             if x != x0:
                 far = max(far, (x - start) * step)
@@ -206,65 +280,108 @@ def coverage(item: Sequence[str], doc: Sequence[str], anchors: Sequence[tuple[in
     return best
 
 
-def leaks_in(text: str, table: SeedTable) -> list[tuple[int, int]]:
-    """(item's number in the table, covered words) of the items that leak into a text."""
-    rules = table.rules
-    flat = plain(text)
-    data = np.frombuffer(letters(flat), dtype=np.uint8)
-    if len(data) < rules.window:
-        return []
-    item, place, there, length = table.seeds(data)
+def covered_words(starts: np.ndarray, made: Sequence[tuple[int, int, int]]) -> int:
+    """Words of the item, by their first letters and the end, all of whose letters lie in tiles."""
+    inside = np.zeros(int(starts[-1]) + 1, dtype=np.int64)
+    for i, _, n in made:
+        inside[i] += 1
+        inside[i + n] -= 1
+    upto = np.r_[0, np.cumsum(np.cumsum(inside)[:-1] > 0)]
+    return int((upto[starts[1:]] - upto[starts[:-1]] == starts[1:] - starts[:-1]).sum())
+
+
+def leaks_among(texts: Sequence[str], table: KeyTable) -> Iterator[tuple[int, int, int, int]]:
+    """(text's number, item's number in the table, words covered by tiles, words in order) of the leaks."""
+    flats = [plain(t) for t in texts]
+    packed = [letters(f) for f in flats]
+    # All letters in one string, a blank after each text, so that no key reaches from one into the next.
+    data = np.frombuffer(b" ".join(packed) + b" ", dtype=np.uint8)
+    begin = np.cumsum([0, *[len(p) + 1 for p in packed]])
+    item, word, place = table.shared(data)
     if not len(item):
-        return []
-    doc = doc_words(flat)
-    starts = np.cumsum([0, *map(len, doc)])
-    found = []
-    for k in np.unique(item):
-        own = table.starts[k]
-        anchors = []
-        for p, t, n in zip(*(x[item == k].tolist() for x in (place, there, length))):
-            # Where a word begins in both, along the run and the letters beside it that may belong to it.
-            i = np.arange(np.searchsorted(own, p - rules.stride + 1), min(np.searchsorted(own, p + n + rules.stride), len(own) - 1))
-            goal = own[i] + t - p
-            j = np.searchsorted(starts, goal)
-            ok = (j < len(doc)) & (starts[np.minimum(j, len(doc))] == goal)
-            anchors += zip(i[ok].tolist(), j[ok].tolist())
-        n = coverage(table.words[k], doc, anchors, rules.places)
-        if n >= rules.words:
-            found.append((int(k), n))
-    return found
-
-
-def _scan(batches: Iterator[pd.DataFrame], table: SeedTable) -> Iterator[pd.DataFrame]:
+        return
+    text = np.searchsorted(begin, place, "right") - 1
+    order = np.lexsort((place, word, item, text))
+    item, word, place, text = item[order], word[order], place[order], text[order]
+    first = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (text[1:] != text[:-1])])
+    doc, starts, of = [], np.zeros(0, dtype=np.int64), -1
+    for lo, hi in zip(first, np.r_[first[1:], len(item)]):
+        d, k = int(text[lo]), int(item[lo])
+        if d != of:
+            doc = doc_words(flats[d])
+            starts, of = np.cumsum([0, *map(len, doc)]), d
+        yield from ((d, k, *found) for found in _leak(table, k, doc, starts, data[begin[d] : begin[d + 1] - 1], word[lo:hi], place[lo:hi] - begin[d]))
+
+
+def _leak(table: KeyTable, k: int, doc: Sequence[str], starts: np.ndarray, data: np.ndarray, word: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(words covered by tiles, words in order) if the item leaks; word and place are the shared keys, in order."""
+    rules, own, size = table.rules, table.starts[k], len(table.letters[k])
+    # Where a word begins in both, along the keys.
+    i = (word[:, None] + np.arange(rules.least)).ravel()
+    goal = own[i] + np.repeat(place - own[word], rules.least)
+    j = np.searchsorted(starts, goal)
+    ok = starts[np.minimum(j, len(doc))] == goal
+    ordered = coverage(table.words[k], doc, list(zip(i[ok].tolist(), j[ok].tolist())), rules.places)
+    # Tiles that could bring the words together hold keys for as many; else only order can make a leak.
+    if ordered < rules.words and len(np.unique(i)) < rules.words:
+        return
+    # A leak's tiles lie around its keys; what is further from all of them than twice the item is left out.
+    near = np.zeros(len(data) + 1, dtype=np.int64)
+    np.add.at(near, np.maximum(place - 2 * size, 0), 1)
+    np.add.at(near, np.minimum(place + 2 * size, len(data)), -1)
+    near = np.cumsum(near)[:-1] > 0
+    made = tiles(table.letters[k], np.where(near, data, 0)[near | np.r_[False, near[:-1]]], rules.tile)
+    covered = covered_words(own, made)
+    if max(covered, ordered) >= rules.words:
+        yield covered, ordered
+
+
+#: Letters of documents that are searched at once.
+CHUNK = 500_000
+
+
+def _scan(batches: Iterator[pd.DataFrame], table: KeyTable) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = [(d, table.ids[k], n) for d, t in zip(pdf["d"], pdf["t"]) for k, n in leaks_in(t, table)]
-        yield pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 3), columns=["d", "i", "n"])
+        rows, ids, texts, size = [], [], [], 0
+        last = len(pdf) - 1
+        for at, (d, t) in enumerate(zip(pdf["d"], pdf["t"])):
+            ids.append(d), texts.append(t)
+            size += len(t)
+            if size >= CHUNK or at == last:
+                rows += [(ids[n], table.ids[k], c, o) for n, k, c, o in leaks_among(texts, table)]
+                ids, texts, size = [], [], 0
+        yield pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 4), columns=["d", "i", "c", "o"])
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", rules: LeakRules | None = None) -> DataFrame:
-    """(doc_id, item_id, covered_words) of every document and item where the document contains at least
-    rules.words consecutive words of the item, disturbed in at most rules.places places.
-
-    Whole texts are read, each once for every block of items; the items are a stated query set, taken in
-    blocks of at most rules.block letters, so what is sent to executors is bounded. Case, accents,
-    punctuation, blanks, line breaks, hyphens at line ends, markup, invisible and look-alike characters
-    don't matter. Null and empty texts contain nothing; items shorter than rules.words words leak
-    nowhere; null ids are passed over. Repeated documents and items give one row for each pair of ids.
+    """(doc_id, item_id, covered_words, ordered_words) of every document and item where tiles cover at least
+    rules.words words of the item, in any order, or the document contains at least rules.words
+    consecutive words of the item in order, disturbed in at most rules.places places.
+
+    Whole texts are read. Any leak in order has a run of rules.least undisturbed words, however short
+    they are, and so a key: none is lost. The items are a stated query set; their keys are held in
+    blocks of at most rules.block letters, so what is sent to executors is bounded, and a set of more
+    letters takes one reading of the corpus a block. Case, accents, punctuation, blanks, line breaks,
+    hyphens at line ends, markup, invisible and look-alike characters don't matter. Null and empty
+    texts contain nothing; items shorter than rules.words words leak nowhere; null ids are passed over.
+    Repeated documents and items give one row for each pair of ids, with the most words of each kind.
     Other columns are ignored, whatever their names; empty tables give no row.
     """
     rules = rules or LeakRules()
     c = lambda name: F.col(f"`{name}`")
     docs = documents.select(c(doc_id).cast("long").alias("d"), c(text).alias("t")).filter("d is not null and t is not null")
+    schema = "d long, i long, c long, o long"
     found = None
     for table in _blocks(items.select(c(item_id).cast("long").alias("i"), c(item_text).alias("t")).filter("i is not null and t is not null"), rules):
-        part = docs.mapInPandas(lambda it, table=table: _scan(it, table), "d long, i long, n long")
+        part = docs.mapInPandas(lambda it, table=table: _scan(it, table), schema)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = docs.select("d", F.col("d").alias("i"), F.col("d").alias("n")).limit(0)
-    return found.groupBy("d", "i").agg(F.max("n").alias("n")).select(F.col("d").alias(doc_id), F.col("i").alias(item_id), F.col("n").alias("covered_words"))
+        found = docs.sparkSession.createDataFrame([], schema)
+    best = found.groupBy("d", "i").agg(F.max("c").alias("c"), F.max("o").alias("o"))
+    return best.select(F.col("d").alias(doc_id), F.col("i").alias(item_id), F.col("c").alias("covered_words"), F.col("o").alias("ordered_words"))
 
 
-def _blocks(items: DataFrame, rules: LeakRules) -> Iterator[SeedTable]:
+def _blocks(items: DataFrame, rules: LeakRules) -> Iterator[KeyTable]:
     """The items in tables of bounded size, read row by row."""
     ids, texts, size = [], [], 0
     for r in items.toLocalIterator():
@@ -272,9 +389,9 @@ def _blocks(items: DataFrame, rules: LeakRules) -> Iterator[SeedTable]:
         if len(ws) < rules.words:
             continue
         if ids and size + sum(map(len, ws)) > rules.block:
-            yield SeedTable(rules, ids, texts)
+            yield KeyTable(rules, ids, texts)
             ids, texts, size = [], [], 0
         ids.append(r["i"]), texts.append(ws)
         size += sum(map(len, ws))
     if ids:
-        yield SeedTable(rules, ids, texts)
+        yield KeyTable(rules, ids, texts)

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm.leakage import find_leaks
+from wardgrid.llm.leakage import LeakRules, find_leaks
 from wardgrid.llm.packing import count_tokens, pack
 from wardgrid.llm.sketch import ERROR, combine, percentiles, sketch
 from wardgrid.llm.spam import find_spam
@@ -79,7 +79,15 @@ def p8_packed(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the test items that leaked into them."""
-    return find_leaks(table(spark, d, "documents"), table(spark, d, "evalitems")).select("doc_id", "item_id")
+    rules = LeakRules()
+    found = find_leaks(table(spark, d, "documents"), table(spark, d, "evalitems"), rules=rules)
+    return found.filter(F.col("ordered_words") >= rules.words).select("doc_id", "item_id")
+
+
+def p9_reordered(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and test items of which they hold enough words in tiles, but not in order."""
+    rules = LeakRules()
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "evalitems"), rules=rules).filter(F.col("ordered_words") < rules.words).select("doc_id", "item_id", "covered_words")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +95,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return find_spam(table(spark, d, "documents")).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_by_item, p2_by_day, p4_found, p4_splits, p8_packed, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_by_item, p2_by_day, p4_found, p4_splits, p8_packed, p9_found, p9_reordered, p10_found)}
 
 _GAMMA = (1 + ERROR) / (1 - ERROR)
 _SKETCH = f"""v as (select itemid, case when registeredat <> -1899 then cast(floor(registeredat / {DAY_MS}.0) as bigint) end as day, value from numericitems where value is not null and not isnan(value)),

@@ -13,8 +13,11 @@ LOOKALIKES = str.maketrans(
 )
 # Characters that are not seen, among them the soft hyphen.
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁤⁪-⁯ㅤ︀-️﻿ﾠ]")
-INLINE_TAG = re.compile(r"</?(?:b|i|u|em|strong|span|a|mark|sup|sub|font|small|code|s|del|ins)\b[^<>]{0,300}>|\[/?(?:b|i|u|url|color|size)(?:=[^\]\[]{0,300})?\]", re.I)
-TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>|<!--.{0,500}?-->", re.S)
+# A tag is a name, alone or with attributes of which the first stands alone or has a value of any length: so
+# "<5 and then >3" is none. Both patterns read each sign a bounded number of times.
+_ATTRIBUTES = r"(?:\s*/?|\s+[\w:@.-]+\s*(?:=[^<>]*)?)>"
+INLINE_TAG = re.compile(rf"</?(?:b|i|u|em|strong|span|a|mark|sup|sub|font|small|code|s|del|ins)\b{_ATTRIBUTES}|\[/?(?:b|i|u|url|color|size)(?:=[^\]\[]*)?\]", re.I)
+TAG = re.compile(rf"</?[a-zA-Z][\w:.-]*{_ATTRIBUTES}")
 BROKEN = re.compile(r"(?<=[^\W\d_])[-‐-–][ \t ]*[\r\n]+\s*(?=[^\W\d_])")
 WORD = re.compile(r"[a-z0-9]+")
 NUMBER = re.compile(r"(?<=\d)[.,:/](?=\d)")
@@ -39,11 +42,20 @@ _LONG = ("ß", "æ", "Æ", "¼", "½", "¾")
 _SEPARATORS = bytes(b for b in range(256) if not (48 <= b <= 57 or 97 <= b <= 122))
 
 
+def without_comments(text: str) -> str:
+    """The text without <!-- ... --> of any length; one that doesn't end is text."""
+    out, at = [], 0
+    while (begin := text.find("<!--", at)) >= 0 and (end := text.find("-->", begin + 4)) >= 0:
+        out += (text[at:begin], " ")
+        at = end + 3
+    return "".join(out) + text[at:] if out else text
+
+
 def plain(text: str) -> str:
     """Lower-case ASCII letters, digits and separators: no accents, markup, invisible or look-alike
     characters, or words broken at a line's end. What has no such form separates words."""
     if "<" in text or "[" in text:
-        text = TAG.sub(" ", INLINE_TAG.sub("", text))
+        text = TAG.sub(" ", INLINE_TAG.sub("", without_comments(text)))
     if "&" in text:
         text = html.unescape(text)
     try:
