@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from wardgrid.operators.plausibility import SpikeRules, _judge, flag_implausible, run_lengths, stand_off, tail_cutoff, bucket_of
+from wardgrid.operators.plausibility import SpikeRules, _judge, fit_tail, flag_implausible, run_lengths, stand_off, tail_cutoff, bucket_of
 
 SCHEMA = "id long, adm long, item long, t long, v double, lo double, hi double, measured boolean, lab long, source string, x double"
 
@@ -64,16 +64,9 @@ def test_partition_edges_change_nothing(spark, seed):
     rules = SpikeRules()
     readings, flagged, off, residual = whole(data, rules)
     df = spark.createDataFrame(data, SCHEMA)
-    results = []
-    for parts in ("1", "4", "23"):
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        try:
-            got = {r[0] for r in flag_implausible(df, ["adm", "item"], "item", "t", "v", "id", "lo", "hi", "measured", "lab").collect()}
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", "5")
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        results.append(got)
+    call = lambda rows: {r[0] for r in flag_implausible(df, ["adm", "item"], "item", "t", "v", "id", "lo", "hi", "measured", "lab", SpikeRules(rows=rows)).collect()}
+    # One partition; one level of edges; several levels.
+    results = [call(rows) for rows in (1_000_000, 400, 101)]
     ids = {}
     for r in data:
         ids.setdefault((r[1], r[2], r[3]), set()).add(r[0])
@@ -82,8 +75,7 @@ def test_partition_edges_change_nothing(spark, seed):
     for item in set(sources.tolist()):
         size = np.abs(residual[(sources == item) & ~np.isnan(residual)])
         b, n = np.unique([bucket_of(np.array([x]), rules.width)[0] if x > 0 else -(2**31) for x in size], return_counts=True)
-        scatter, cutoff = tail_cutoff(b, n, rules)
-        cutoffs[item] = max(6 * scatter, cutoff)
+        cutoffs[item] = rules.scatters * tail_cutoff(b, n, rules)[0]
     expected = {i for r, f, o in zip(readings, flagged, off) if f or o >= cutoffs[r[2]] for i in ids[r[1:4]]}
     assert len(expected) > 20
     assert results == [expected] * 3
@@ -118,13 +110,57 @@ def test_runs():
     assert len(run_lengths(np.zeros(0), np.zeros(0))) == 0
 
 
+def counted(size):
+    return np.unique(bucket_of(size, 0.01), return_counts=True)
+
+
 def test_cutoff_of_normal_tails():
     rng = np.random.default_rng(0)
     size = np.abs(rng.normal(0, 3, 200_000))
-    b, n = np.unique(bucket_of(size, 0.01), return_counts=True)
-    scatter, cutoff = tail_cutoff(b, n, SpikeRules())
+    scatter, cutoff = tail_cutoff(*counted(size), SpikeRules())
     assert scatter == pytest.approx(3, rel=0.02)
-    assert 3.2 < cutoff / scatter < 6
+    assert 3.2 < cutoff / 3 < 6
+
+
+@pytest.mark.parametrize("shape", [-0.3, 0.0, 0.2])
+def test_tails_are_fitted_in_shape_and_scale(shape):
+    u = np.random.default_rng(1).random(100_000)
+    excess = -np.log(u) * 2 if shape == 0 else 2 * (u**-shape - 1) / shape
+    reach = float(np.quantile(excess, 0.8))
+    seen = excess[excess <= reach]
+    got = fit_tail(seen, np.ones(len(seen)), reach, float((excess > reach).sum()))
+    assert got == (pytest.approx(shape, abs=0.06), pytest.approx(2, rel=0.08))
+
+
+def test_the_tail_decides_what_is_ordinary():
+    """Faults beyond the cutoff don't count for the scatter; without a tail they would hide themselves."""
+    rng = np.random.default_rng(2)
+    size = np.abs(np.concatenate([rng.normal(0, 1, 50_000), rng.uniform(9, 40, 1500)]))
+    scatter, cutoff = tail_cutoff(*counted(size), SpikeRules())
+    assert 3 < cutoff < 9 and scatter == pytest.approx(1, rel=0.03)
+    assert 6 * tail_cutoff(*counted(size), SpikeRules(risk=1e-300))[0] > 20
+    heavy = np.abs(rng.standard_t(2.5, 50_000))
+    assert tail_cutoff(*counted(heavy), SpikeRules())[1] > 20
+
+
+def test_tails_of_steps_and_of_few_values():
+    assert tail_cutoff(np.array([-(2**31)]), np.array([5]), SpikeRules())[0] == 0
+    assert tail_cutoff(np.array([3]), np.array([1]), SpikeRules())[0] > 0
+    b, n = counted(np.array([1.0] * 900 + [2.0] * 90 + [14.0] * 10))
+    scatter, _ = tail_cutoff(b, n, SpikeRules())
+    assert 1 < scatter < 14 / 6
+
+
+@pytest.mark.parametrize("value", [500.0, 50.0])
+def test_hot_series_out_of_bounds_or_stuck(spark, value):
+    """A series without judged readings hands on a fixed number at each edge, and loses nothing."""
+    from wardgrid.operators.plausibility import _edges
+
+    data = [(i, 1, 1, i, value if i % 97 else 51.0, 0.0, 300.0, True, 0, "q", 0.0) for i in range(2000)]
+    got = {r[0] for r in flag_implausible(spark.createDataFrame(data, SCHEMA), ["adm", "item"], "item", "t", "v", "id", "lo", "hi", "measured", "lab", SpikeRules(rows=150)).collect()}
+    assert got >= {i for i in range(2000) if i % 97}
+    for judged in (np.zeros(2000, dtype=bool), np.ones(2000, dtype=bool)):
+        assert _edges(np.zeros(2000), judged, SpikeRules())[1].sum() <= SpikeRules().edge
 
 
 def test_nulls_labs_and_empty(spark):

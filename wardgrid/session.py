@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -32,12 +34,18 @@ def get_spark(app: str = "wardgrid", cpus: int | None = None, **conf: str) -> Sp
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of spark.checkpoint.dir; make a local one only where none is set."""
+    """Use the shared folder of spark.checkpoint.dir. Only a session whose executors run on this machine may
+    do without: it gets a folder of its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wardgrid-checkpoint-"))
+    if not shared:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="wardgrid-checkpoint-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    sc.setCheckpointDir(shared)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -46,6 +54,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written once as a table in the shared checkpoint folder and read from there: compressed, read by
+    column, and of a size that the planner knows."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/wardgrid-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Gives this package to the executors' Python, once a session: as a zip in the shared checkpoint
     folder, so that queries run wherever the driver was started."""
