@@ -24,7 +24,7 @@ def con():
 
 def plain(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v + 0.0, 5)
+        return "NaN" if math.isnan(v) else round(v + 0.0, 5)
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None)
     return v

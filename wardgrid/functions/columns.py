@@ -117,6 +117,11 @@ def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
 
+def number(x: Column) -> Column:
+    """The value, or null for NaN."""
+    return F.when(~F.isnan(x), x)
+
+
 def within(x: Column, low: Column, high: Column) -> Column:
     """low <= x <= high, a missing bound setting none; false for a missing x."""
     return x.isNotNull() & F.coalesce(x >= low, F.lit(True)) & F.coalesce(x <= high, F.lit(True))

@@ -11,7 +11,7 @@ import math
 from collections import defaultdict, deque
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +139,21 @@ def recorded_unit(df: DataFrame, units: Sequence[tuple[int, str]]) -> DataFrame:
     return out
 
 
+#: Relative width of the buckets in which usual values are counted, and what keeps their numbers above 0.
+WIDTH, OFFSET = 0.002, 400_000
+
+
+def _bucket(v: Column) -> Column:
+    """The signed logarithmic bucket of a value."""
+    size = F.ceil(F.log(F.abs(v)) / F.lit(math.log1p(WIDTH))) + F.lit(OFFSET)
+    return F.when(v == 0, 0).otherwise(F.signum(v) * size).cast("int")
+
+
+def _middle(b: Column) -> Column:
+    """The middle of a bucket."""
+    return F.signum(b) * F.pow(F.lit(1 + WIDTH), F.abs(b) - F.lit(OFFSET)) * F.lit(2 / (2 + WIDTH)) * (b != 0).cast("double")
+
+
 def convert_units(
     df: DataFrame, items: DataFrame, units: DataFrame, extra_edges: Iterable[Edge] = (), out: str = "target_value", bounds: bool = False
 ) -> DataFrame:
@@ -181,14 +196,17 @@ def convert_units(
 
     number = F.when(~F.isnan("value"), F.col("value"))
     named = recorded_unit(df, unit_rows)
-    usual = (
+    # Counts by item, unit and, of values named as in the target unit, bucket: added up, they are the same in any order.
+    counts = (
         named.select("itemid", "__unit", number.alias("__v")).join(F.broadcast(info.select("itemid", "__target", "__others")), "itemid")
         .filter("__v is not null and size(__others) > 0")
-        .groupBy("itemid").agg(
-            F.percentile_approx(F.when(F.col("__unit") == F.col("__target"), F.col("__v")), [0.01, 0.5, 0.99], 10_000).alias("__usual"),
-            F.collect_set("__unit").alias("__used"),
-        )
+        .groupBy("itemid", "__unit", F.when(F.col("__unit") == F.col("__target"), _bucket(F.col("__v"))).alias("__b")).agg(F.count("*").alias("__n"))
     )
+    along = Window.partitionBy("itemid").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    here = F.when(F.col("__b").isNotNull(), F.col("__n")).otherwise(0)
+    ranked = counts.withColumns({"__upto": F.sum(here).over(along), "__all": F.sum(here).over(Window.partitionBy("itemid"))})
+    at = lambda q: _middle(F.min(F.when(F.col("__b").isNotNull() & (F.col("__upto") > F.lit(q) * (F.col("__all") - 1)), F.col("__b"))))
+    usual = ranked.groupBy("itemid").agg(F.array(at(0.01), at(0.5), at(0.99)).alias("__usual"), F.collect_set("__unit").alias("__used"))
     # A row for each item of the catalogue, at most MAX_ITEMS.
     about = F.broadcast(info.join(usual, "itemid", "left"))
     rows = named.withColumn("__v", number).join(about, "itemid", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardgrid.functions.columns import number
 from wardgrid.operators.intervals import interval_gaps, merge_intervals
 from wardgrid.operators.pivot import discover_attributes, pivot_wide
 from wardgrid.operators.plausibility import flag_implausible
@@ -62,8 +63,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_converted(spark: SparkSession, d: str) -> DataFrame:
-    """Every value in its item's target unit."""
-    return _converted(spark, d).select("numericid", "admissionid", "itemid", "value", F.round("target_value", 6).alias("target_value"), "target_value_changed")
+    """Every value in its item's target unit; NaN, which is no value, is null."""
+    return _converted(spark, d).select("numericid", "admissionid", "itemid", number(F.col("value")).alias("value"), F.round("target_value", 6).alias("target_value"), "target_value_changed")
 
 
 def p7_wide(spark: SparkSession, d: str) -> DataFrame:

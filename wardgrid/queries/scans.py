@@ -12,6 +12,8 @@ from wardgrid.sources.tables import table
 
 # SQL pieces that several oracles share.
 STAYS = "stays as (select admissionid, max(admittedat) admittedat, max(dischargedat) dischargedat from admissions where admissionid is not null group by 1)"
+#: A value that may be NaN, which is no value.
+NUMBER = "case when not isnan(value) then value end"
 NUMBERS = "numbers as (select * from numericitems where value is not null and not isnan(value))"
 
 
@@ -45,10 +47,10 @@ def op_04_iso_datetime_cast(s, d):
     return cast_columns(rows, {"admitted": "timestamp_ntz", "nothing": "timestamp_ntz"})
 
 
-@query("""select numericid, admissionid, itemid, value from numericitems where admissionid in (select admissionid from admissions where urgency = 1)""")
+@query(f"select numericid, admissionid, itemid, {NUMBER} as value from numericitems where admissionid in (select admissionid from admissions where urgency = 1)")
 def op_06_scoped_read(s, d):
     wanted = table(s, d, "admissions").filter("urgency = 1")
-    return lookups.only(table(s, d, "numericitems").select("numericid", "admissionid", "itemid", "value"), wanted, ["admissionid"])
+    return lookups.only(table(s, d, "numericitems").select("numericid", "admissionid", "itemid", x.number(F.col("value")).alias("value")), wanted, ["admissionid"])
 
 
 @query("select itemid, unitid, count(*) as n from numericitems group by all")
@@ -124,9 +126,9 @@ def op_43_known_times(s, d):
     return numbers(s, d).filter(F.col("measuredat").isNull() | x.known_time(F.col("measuredat")).isNotNull()).select("numericid", "value")
 
 
-@query("select numericid, itemid, value, admission_relative_ms from numericitems where itemid in (41011, 41013, 42021) and admission_relative_ms >= 0")
+@query(f"select numericid, itemid, {NUMBER} as value, admission_relative_ms from numericitems where itemid in (41011, 41013, 42021) and admission_relative_ms >= 0")
 def op_44_items_from_admission(s, d):
-    return table(s, d, "numericitems").filter("itemid in (41011, 41013, 42021) and admission_relative_ms >= 0").select("numericid", "itemid", "value", "admission_relative_ms")
+    return table(s, d, "numericitems").filter("itemid in (41011, 41013, 42021) and admission_relative_ms >= 0").select("numericid", "itemid", x.number(F.col("value")).alias("value"), "admission_relative_ms")
 
 
 @query("select numericid, itemid, value from numericitems n where value is not null and not isnan(value) and not ((itemid = 41011 and value in (0, 999)) or (itemid = 42021 and value = 0) or (itemid = 44062 and value = 999))")
@@ -220,11 +222,11 @@ def op_59_text_policies(s, d):
     return table(s, d, "drugitems").filter(F.col("ordercategory").startswith("Infuus") | item.contains("zolin") | item.rlike("(gapine|meril)$")).select("admissionid", "orderid", "item")
 
 
-@query("select admissionid, cast(itemid as varchar) as code, cast(value as double) as numeric_value, cast(null as bigint) as stay_id from numericitems")
+@query(f"select admissionid, cast(itemid as varchar) as code, {NUMBER} as numeric_value, cast(null as bigint) as stay_id from numericitems")
 def op_61_coerced(s, d):
     from wardgrid.operators.joint import padded
 
-    rows = table(s, d, "numericitems").withColumnsRenamed({"itemid": "code", "value": "numeric_value"})
+    rows = table(s, d, "numericitems").withColumn("value", x.number(F.col("value"))).withColumnsRenamed({"itemid": "code", "value": "numeric_value"})
     return padded(rows, {"admissionid": "bigint", "code": "string", "numeric_value": "double", "stay_id": "bigint"})
 
 

@@ -78,9 +78,9 @@ def op_129_shared_ids(s, d):
     return audits.collisions([table(s, d, t) for t in ("numericitems", "listitems", "drugitems")], "admissionid")
 
 
-@query("select admissionid from numericitems except select admissionid from drugitems")
+@query("select admissionid from numericitems where admissionid is not null except select admissionid from drugitems")
 def op_130_difference(s, d):
-    return table(s, d, "numericitems").select("admissionid").exceptAll(table(s, d, "drugitems").select("admissionid")).distinct().join(table(s, d, "drugitems").select("admissionid").distinct(), "admissionid", "left_anti")
+    return table(s, d, "numericitems").select("admissionid").filter("admissionid is not null").distinct().join(table(s, d, "drugitems").select("admissionid").distinct(), "admissionid", "left_anti")
 
 
 @query("select distinct code from (select 'N//' || itemid as code from numericitems union select 'L//' || itemid from listitems union select 'D//' || itemid from drugitems)")
