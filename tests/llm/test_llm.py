@@ -72,6 +72,26 @@ def test_components(spark, kind):
     assert connected_components(df.filter("false")).count() == 0
 
 
+def test_components_with_hubs_spread(spark, monkeypatch):
+    from wardgrid.llm import splits
+
+    monkeypatch.setattr(splits, "HUB", 5)
+    rng = random.Random(21)
+    edges = [(3, i) for i in range(80)] + [(rng.randint(100, 140), rng.randint(100, 400)) for _ in range(300)] + [(i, i + 1) for i in range(500, 530)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == union_find(edges)
+
+
+def test_rounds_leave_no_tables_behind(spark):
+    import glob
+
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = len(glob.glob(f"{folder}/wardgrid-*"))
+    connected_components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"))
+    # The cleaned edges and the last round.
+    assert len(glob.glob(f"{folder}/wardgrid-*")) == before + 2
+
+
 def test_persons_whose_splits_disagree(spark):
     data = [(1, 10, 100, "train "), (2, 10, 101, "TRAINING"), (2, 11, 102, "Test"), (3, 12, 103, "val"), (3, 12, 104, "valid"), (4, 13, 105, ""), (4, 13, 106, None), (4, 13, 107, "unassigned"), (5, 14, 108, "held-out"), (6, 15, 108, "train"), (None, None, 109, "train"), (None, 16, 110, "train"), (7, None, 111, "test"), (3, 12, 103, "val")]
     df = spark.createDataFrame(data, "s long, p long, d long, split string")

@@ -7,30 +7,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardgrid.session import cut
+from wardgrid.session import discard, stored
 
-SALTS = 32
+#: Edges of a node that meet its minimum in one task; a node with more is a hub, spread over several.
+HUB = 10_000
+#: Hubs at most: of n edges, few enough nodes have more than 2 n / MAX_HUBS.
+MAX_HUBS = 500_000
 #: Rounds of star contraction; each at least halves what is left of a path, so this covers any table.
 MAX_ROUNDS = 60
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step on edges (a, b), a > b."""
+def _contracted(edges: DataFrame, n: int) -> DataFrame:
+    """One large-star and one small-star step on n edges (a, b), a > b."""
+    hub = max(HUB, 2 * n // MAX_HUBS)
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # Large star: link every larger neighbour to the least node around. The minimum is taken by an
-    # aggregation (partial on the map side), and the hub's edges meet it in a salted join.
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    large = _meet(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    # aggregation (partial on the map side), and a hub's edges meet it in a salted join.
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
+    large = _meet(both.filter("b > a"), least, hub).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
     # Small star: link a node and its smaller neighbours to the least of them.
-    low = large.groupBy("a").agg(F.min("b").alias("m"))
-    met = _meet(large, low)
+    low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    met = _meet(large, low, hub)
     return met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
-def _meet(edges: DataFrame, of: DataFrame) -> DataFrame:
-    """edges (a, b) joined with of (a, m), a node's edges spread over SALTS tasks."""
-    salted = edges.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
-    spread = of.withColumn("s", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+def _meet(edges: DataFrame, of: DataFrame, hub: int) -> DataFrame:
+    """edges (a, b) joined with of (a, m, n edges). A hub's edges are spread over as many salts as it has
+    times `hub` edges; other nodes have one salt, and nothing of them is copied."""
+    # At most MAX_HUBS rows, by the choice of `hub`.
+    hubs = F.broadcast(of.filter(F.col("n") > hub).select("a", F.ceil(F.col("n") / F.lit(hub)).cast("int").alias("k")))
+    salted = edges.join(hubs, "a", "left").withColumn("s", F.coalesce(F.pmod(F.xxhash64("b"), F.col("k")).cast("int"), F.lit(0))).drop("k")
+    spread = of.select("a", "m", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / F.lit(hub)).cast("int") - 1)).alias("s"))
     return salted.join(spread, ["a", "s"]).drop("s")
 
 
@@ -38,16 +45,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b), whole numbers; component is its least node.
 
     Alternating large-star and small-star steps until nothing changes. Loops, repeated edges and either
-    direction are allowed; edges with a null end are passed over. Each round is checkpointed in the
-    shared folder, so no lineage grows and a lost executor costs at most the round.
+    direction are allowed; edges with a null end are passed over. Each round is written to the shared
+    folder, so no lineage grows and a lost executor costs at most the round; the round before is deleted.
     """
-    clean = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.col("a").isNull().alias("x"), F.col("b").isNull().alias("y")).filter("not x and not y").select("a", "b")
+    clean = stored(edges.filter("a is not null and b is not null").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     nodes = clean.select(F.col("a").alias("node")).unionByName(clean.select(F.col("b").alias("node"))).distinct()
-    now = cut(clean.filter("a <> b").distinct())
+    now = clean.filter("a <> b")
     mark = _fingerprint(now)
-    for _ in range(MAX_ROUNDS):
-        after = cut(_contracted(now))
+    for at in range(MAX_ROUNDS):
+        after = stored(_contracted(now, mark[0]))
         seen = _fingerprint(after)
+        if at:
+            discard(now)
         now, stop, mark = after, seen == mark, seen
         if stop:
             break
@@ -103,17 +112,20 @@ def disagreeing(df: DataFrame, keys: Sequence[str], split: str, spellings: Mappi
     return linked.join(torn, "__component", "left_semi").select(*[c(name) for name in keys])
 
 
-def stratified_splits(groups: DataFrame, group: str, size: str, labels: Sequence[str], shares: Mapping[str, float], seed: int = 0, giant: float = 0.002) -> DataFrame:
+def stratified_splits(groups: DataFrame, group: str, size: str, labels: Sequence[str], shares: Mapping[str, float], seed: int = 0) -> DataFrame:
     """(group, split): whole groups placed so that sizes and label counts come near their shares.
 
     groups has one row per group with its size and a number for each label. Grouped iterative
-    stratification: the label with the fewest outstanding records comes first; its groups go to the
-    splits that still need that label most. Groups above `giant` of all records, at most 1 / giant of them,
-    are placed one by one on the driver, largest first. Of the others, all that hold the label are placed
-    in one pass: in order of a hash they fill the splits' outstanding needs of the label, each group
-    where the middle of its records falls. What holds no label follows by size. Ties are broken by the
-    label's place in the list, the split's place, and the group's hash. Null labels and sizes are 0,
-    groups of size 0 are placed too, a null group is one group, shares must add up to 1.
+    stratification: the label with the fewest outstanding records comes first, and the groups that hold
+    it go to the splits in proportion to what each still needs of it. They stand in a line, those with
+    more of the label first (by powers of two) and then by a hash, and the line is cut into equal
+    stretches twice as long as the largest group; in each stretch every split has a part as long as its
+    need, and a group goes where its middle lies. So each split has its part of the large groups as of
+    the small ones, and the next label makes good what whole groups left over. What holds no label
+    follows by size. It is the same at every size; nothing but sums reaches the driver.
+
+    Ties are broken by the label's place in the list, the split's place, and the group's hash. Null labels
+    and sizes are 0, groups of size 0 are placed too, a null group is one group, shares must add up to 1.
     """
     names = list(shares)
     if not names or abs(sum(shares.values()) - 1) > 1e-9 or min(shares.values()) < 0:
@@ -121,50 +133,48 @@ def stratified_splits(groups: DataFrame, group: str, size: str, labels: Sequence
     c = lambda name: F.col(f"`{name}`")
     kinds = [f"l{i}" for i in range(len(labels))] + ["size"]
     rows = groups.select(c(group).alias("g"), *[F.coalesce(c(x).cast("double"), F.lit(0.0)).alias(k) for x, k in zip([*labels, size], kinds)])
-    rows = cut(rows.withColumn("h", F.xxhash64(F.lit(seed), "g")).withColumn("part", F.pmod("h", F.lit(1024)).cast("int")))
-    totals = rows.agg(*[F.sum(k).alias(k) for k in kinds]).first()
-    totals = {k: float(totals[k] or 0) for k in kinds}
-    need = {s: {k: shares[s] * totals[k] for k in kinds} for s in names}
-    chosen: list[tuple] = []
-    cutoff = giant * totals["size"]
-    for r in sorted(rows.filter(F.col("size") > cutoff).collect(), key=lambda r: (-r["size"], r["h"])):
-        rare = min((k for k in kinds if r[k] > 0), key=lambda k: (sum(need[s][k] for s in names), kinds.index(k)))
-        best = max(names, key=lambda s: (need[s][rare] if rare == "size" else need[s][rare] + need[s]["size"] * 1e-6, -names.index(s)))
-        best = max(names, key=lambda s: (need[s]["size"], -names.index(s))) if need[best]["size"] < r["size"] / 2 else best
-        chosen.append((r["g"], best))
-        for k in kinds:
-            need[best][k] -= r[k]
-    left = rows.filter(F.col("size") <= cutoff)
-    placed = left.sparkSession.createDataFrame(chosen, f"g {dict(rows.dtypes)['g']}, split string")
+    left = stored(rows.withColumn("h", F.xxhash64(F.lit(seed), "g")))
+    totals = left.agg(*[F.sum(k).alias(k) for k in kinds]).first()
+    need = {s: {k: shares[s] * float(totals[k] or 0) for k in kinds} for s in names}
+    placed = None
     while kinds:
-        outstanding = left.agg(*[F.sum(k).alias(k) for k in kinds]).first()
-        live = [k for k in kinds if (outstanding[k] or 0) > 0]
+        sums = left.agg(*[F.sum(k).alias(k) for k in kinds], *[F.max(k).alias(f"max_{k}") for k in kinds]).first()
+        live = [k for k in kinds if (sums[k] or 0) > 0]
         if not live:
             break
-        rare = min(live, key=lambda k: (k == "size", outstanding[k], kinds.index(k)))
-        wanted = {s: max(need[s][rare], 0.0) for s in names}
-        scale = outstanding[rare] / (sum(wanted.values()) or 1)
-        if not sum(wanted.values()):
-            wanted, scale = dict(shares), outstanding[rare]
-        here = left.filter(F.col(rare) > 0)
-        # The sum of the label along the hash order: within 1,024 parts, and over the parts' sums.
-        parts = here.groupBy("part").agg(F.sum(rare).alias("m"))
-        before = parts.select("part", (F.sum("m").over(Window.orderBy("part")) - F.col("m")).alias("before"))
-        w = Window.partitionBy("part").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
-        middle = F.sum(rare).over(w) - F.col(rare) / 2 + F.col("before")
-        put, upto = F.lit(names[-1]), 0.0
-        edges = []
-        for s in names:
-            upto += wanted[s] * scale
-            edges.append((s, upto))
-        for s, edge in reversed(edges[:-1]):
-            put = F.when(F.col("mid") <= edge, F.lit(s)).otherwise(put)
-        done = cut(here.join(F.broadcast(before), "part").withColumn("mid", middle).withColumn("split", put).select("g", "split", *kinds))
+        rare = min(live, key=lambda k: (k == "size", sums[k], kinds.index(k)))
+        done = stored(_placed(left.filter(F.col(rare) > 0), rare, sums[rare], sums[f"max_{rare}"], {s: max(need[s][rare], 0.0) for s in names}, shares).select("g", "split", *kinds))
         for r in done.groupBy("split").agg(*[F.sum(k).alias(k) for k in kinds]).collect():
             for k in kinds:
                 need[r["split"]][k] -= r[k]
-        placed = placed.unionByName(done.select("g", "split"))
+        placed = done.select("g", "split") if placed is None else placed.unionByName(done.select("g", "split"))
         left = left.filter(~(F.col(rare) > 0))
         kinds = [k for k in kinds if k != rare]
     rest = left.filter(" and ".join(["size = 0"] + [f"l{i} = 0" for i in range(len(labels))])).select("g", F.lit(max(names, key=lambda s: shares[s])).alias("split"))
-    return placed.unionByName(rest).select(F.col("g").alias(group), "split")
+    return (rest if placed is None else placed.unionByName(rest)).select(F.col("g").alias(group), "split")
+
+
+#: Parts of the hash's range, of each power of two, in which a line of groups is summed up on its own.
+PARTS = 256
+
+
+def _placed(here: DataFrame, rare: str, total: float, most: float, wanted: Mapping[str, float], shares: Mapping[str, float]) -> DataFrame:
+    """The groups that hold the label, with the split that each goes to."""
+    if not sum(wanted.values()):
+        wanted = shares
+    here = here.withColumn("part", F.struct((-F.floor(F.log2(rare))).cast("int").alias("large"), F.pmod("h", F.lit(PARTS)).cast("int").alias("at")))
+    # At most PARTS rows for each power of two.
+    parts = here.groupBy("part").agg(F.sum(rare).alias("m"))
+    before = parts.select("part", (F.sum("m").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")).alias("before"))
+    along = Window.partitionBy("part").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
+    middle = F.sum(rare).over(along) - F.col(rare) / 2 + F.col("before")
+    stretch = total / max(1, int(total // (2 * most)))
+    names, scale = list(wanted), stretch / sum(wanted.values())
+    edges, upto = [], 0.0
+    for s in names:
+        upto += wanted[s] * scale
+        edges.append((s, upto))
+    put = F.lit(max(names, key=lambda s: wanted[s]))
+    for s, edge in reversed(edges):
+        put = F.when(F.col("mid") < F.lit(edge), F.lit(s)).otherwise(put)
+    return here.join(before, "part").withColumn("mid", F.pmod(middle, F.lit(stretch))).withColumn("split", put)
