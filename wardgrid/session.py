@@ -61,7 +61,16 @@ def stored(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/wardgrid-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._wardgrid_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes what `stored` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._wardgrid_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:
