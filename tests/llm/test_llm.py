@@ -170,6 +170,44 @@ def test_reduction_keeps_the_optimum():
         assert sum(n for _, n in fixed) + best(rest, 12) == best(items, 12)
 
 
+def test_sets_of_three_dominate():
+    from wardgrid.llm.packing import _third
+
+    # Beside 60, room is 40: 25 and 14 fit; no three others do, and no two above 14.
+    assert reduce_by_dominance({60: 2, 25: 2, 14: 2}, 100) == ([((60, 25, 14), 2)], {})
+    # 13 and 27 would fill the room and can't take the places of 28 and 12, both above 12.
+    assert _third({28: 1, 27: 1, 13: 1, 12: 1}, 28, 40) is None
+    # Three small ones fit.
+    assert _third({25: 1, 14: 1, 5: 3}, 25, 40) is None
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fixed_sets_of_any_number_keep_the_optimum(seed):
+    rng, threes = random.Random(seed), 0
+    for _ in range(400):
+        items = [rng.randint(4, 22) for _ in range(rng.randint(3, 7))]
+        counts = {s: items.count(s) for s in items}
+        fixed, left = reduce_by_dominance(counts, 30)
+        threes += any(len(f) == 3 for f, _ in fixed)
+        assert all(sum(f) <= 30 for f, _ in fixed)
+        assert sum(n for _, n in fixed) + best([s for s, n in left.items() for _ in range(n)], 30) == best(items, 30)
+    assert threes > 20
+
+
+def test_pack_of_many_full_pieces_and_of_one_size(spark, monkeypatch):
+    from wardgrid.llm import packing
+
+    monkeypatch.setattr(packing, "RANKED", 7)
+    df = spark.createDataFrame([(i, 10) for i in range(200)] + [(i, 3) for i in range(100)] + [(500, 95)], "doc_id long, n long").repartition(5)
+    got = pack(df, "doc_id", "n", 10).collect()
+    load = {}
+    for r in got:
+        load[r["bin"]] = load.get(r["bin"], 0) + r["size"]
+    assert len(got) == 310 and max(load.values()) == 10
+    # 209 full ones, and three 3s in a bin but for one with the rest of 5.
+    assert len(load) == 209 + 34
+
+
 def test_pack_divides_only_what_is_longer(spark):
     df = spark.createDataFrame([(1, 25), (2, 10), (3, 7), (4, 3), (None, 4), (5, 0), (6, None), (7, -1), (3, 7), (8, 10)], "doc_id long, n long").withColumn("bin", F.lit("x"))
     got = pack(df, "doc_id", "n", 10).collect()
