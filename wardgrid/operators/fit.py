@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import c, finite, quantile_bin, rank_share, sanitized, zscore
 from wardgrid.operators.lookups import null_safe
+from wardgrid.operators.quantiles import evenly, nearest_ranks, percentiles
 
 #: Knots of a rank transform.
 KNOTS = 1000
@@ -28,8 +29,7 @@ def scaled(df: DataFrame, moments: DataFrame, key: str, value: str, out: str, le
 
 def fit_ranks(train: DataFrame, key: str, value: str, knots: int = KNOTS) -> DataFrame:
     """(key, knots): evenly spaced quantiles of the positive values, linear between values."""
-    at = F.array(*[F.lit(i / (knots - 1)) for i in range(knots)])
-    return train.filter(finite(c(value)) & (c(value) > 0)).groupBy(key).agg(F.percentile(value, at).alias("knots"))
+    return evenly(train.filter(finite(c(value)) & (c(value) > 0)), [key], value, knots).select(key, F.col("p").alias("knots"))
 
 
 def ranked(df: DataFrame, ranks: DataFrame, key: str, value: str, out: str) -> DataFrame:
@@ -41,15 +41,10 @@ def ranked(df: DataFrame, ranks: DataFrame, key: str, value: str, out: str) -> D
 def fit_quantiles(train: DataFrame, keys: Sequence[str], value: str, bins: int = 10) -> DataFrame:
     """(keys, n, q1 ... q(bins-1)): nearest-rank quantiles of the finite values.
 
-    Values are counted first, so a key is as long as its different values; the ranks are found along the
-    counts in a sorted window, never in an array of all values.
+    Ranks are found by counts, so no task holds or sorts the values of a key.
     """
-    counts = train.filter(finite(c(value))).groupBy(*keys, c(value).alias("__v")).agg(F.count("*").alias("__c"))
-    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    along = counts.withColumns({"__upto": F.sum("__c").over(w), "__all": F.sum("__c").over(Window.partitionBy(*keys))})
-    # round((n - 1) * i / bins), halves up, in whole numbers.
-    picks = [F.min(F.when(F.col("__upto") > F.expr(f"((__all - 1) * {2 * i} + {bins}) div {2 * bins}"), F.col("__v"))).alias(f"q{i}") for i in range(1, bins)]
-    return along.groupBy(*keys).agg(F.max("__all").alias("n"), *picks)
+    found = nearest_ranks(train.filter(finite(c(value))), keys, value, bins)
+    return found.select(*keys, "n", *[F.col("values")[i - 1].alias(f"q{i}") for i in range(1, bins)])
 
 
 def coded(df: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str, out: str, bins: int = 10) -> DataFrame:
@@ -99,7 +94,8 @@ def pooled_moments(parts: DataFrame, key: str, weight: str) -> DataFrame:
 
 def pooled_percentiles(df: DataFrame, key: str, value: str, copies: str, at: Sequence[float]) -> DataFrame:
     """Percentiles in which each value counts `copies` times."""
-    return df.groupBy(key).agg(F.percentile(c(value), F.array(*map(F.lit, at)), c(copies)).alias("p")).select(key, *[F.col("p")[i].alias(f"p{round(100 * q)}") for i, q in enumerate(at)])
+    found = percentiles(df, [key], value, at, c(copies))
+    return found.select(key, *[F.col("p")[i].alias(f"p{round(100 * q)}") for i, q in enumerate(at)])
 
 
 def one_hot(df: DataFrame, column: str, categories: Sequence[str], prefix: str, missing: str = "missing") -> DataFrame:

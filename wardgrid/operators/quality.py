@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import affine, c, fraction_to_percent, within
+from wardgrid.operators.quantiles import percentiles
 
 
 def bounded(df: DataFrame, bounds: DataFrame, key: str, value: str, low: str = "low", high: str = "high") -> DataFrame:
@@ -58,8 +59,9 @@ def rated(df: DataFrame, rate: str, dose: str, minutes: str, formula: str, facto
 
 def outlier_bounds(df: DataFrame, key: str, value: str, k: float = 3.0, mad_k: float = 3.5) -> DataFrame:
     """Per key: interquartile, median-deviation and percentile bounds (percentiles linear between values)."""
-    q = df.groupBy(key).agg(F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.01, 0.99)))).alias("__q"), F.count(value).alias("n"))
-    dev = df.join(q.select(key, F.col("__q")[1].alias("__m")), key).groupBy(key).agg(F.median(F.abs(c(value) - F.col("__m"))).alias("__d"))
+    q = percentiles(df, [key], value, (0.25, 0.5, 0.75, 0.01, 0.99)).withColumnRenamed("p", "__q")
+    off = df.join(q.select(key, F.col("__q")[1].alias("__m")), key).withColumn("__off", F.abs(c(value) - F.col("__m")))
+    dev = percentiles(off, [key], "__off", (0.5,)).select(key, F.col("p")[0].alias("__d"))
     iqr = F.col("__q")[2] - F.col("__q")[0]
     return q.join(dev, key).select(
         key, "n", (F.col("__q")[0] - k * iqr).alias("iqr_low"), (F.col("__q")[2] + k * iqr).alias("iqr_high"),

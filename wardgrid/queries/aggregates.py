@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardgrid.functions import columns as x
 from wardgrid.operators import audits, cohort, events, fit, grid, quality
+from wardgrid.operators.quantiles import percentiles
 from wardgrid.queries.registry import query
 from wardgrid.queries.scans import NUMBERS, STAYS, numbers, stays, training
 from wardgrid.sources.tables import table
@@ -123,7 +124,7 @@ def op_91a_token_counts(s, d):
 def op_91c_duration_statistics(s, d):
     g = table(s, d, "drugitems").filter("duration is not null")
     q = fit.fit_quantiles(g.withColumn("v", F.col("duration").cast("double")), ["itemid"], "v", bins=4).select("itemid", F.col("q1").cast("long").alias("q1"))
-    return g.groupBy("itemid").agg(F.min("duration").alias("low"), F.min("duration").alias("least"), F.median("duration").alias("middle"), F.round(F.avg("duration"), 6).alias("mean"), F.max("duration").alias("high")).join(q, "itemid")
+    return g.groupBy("itemid").agg(F.min("duration").alias("low"), F.min("duration").alias("least"), F.round(F.avg("duration"), 6).alias("mean"), F.max("duration").alias("high")).join(q, "itemid").join(percentiles(g, ["itemid"], "duration", [0.5]).select("itemid", F.col("p")[0].alias("middle")), "itemid")
 
 
 @query("""select subject_id, count(distinct admissionid) as n_stays, min(admittedat) as first_start, max(dischargedat) as last_stop, array_to_string(list_transform(list_sort(list(distinct {'t': coalesce(admittedat, 0), 'id': admissionid})), lambda e: cast(e.id as varchar)), ';') as stay_ids from admissions group by 1""")
@@ -281,6 +282,6 @@ def op_113_collapse(s, d):
 @query(f"with {NUMBERS}, p as (select itemid, quantile_cont(value, [0.01, 0.99]) q from numbers group by 1) select admissionid, itemid, hour, round(avg(least(greatest(value, q[1]), q[2])), 6) as v from (select *, {HOUR} as hour from numbers where admission_relative_ms >= 0) join p using (itemid) group by all")
 def op_116_clipped_matrix(s, d):
     rows = numbers(s, d)
-    p = rows.groupBy("itemid").agg(F.percentile("value", F.array(F.lit(0.01), F.lit(0.99))).alias("q"))
+    p = percentiles(rows, ["itemid"], "value", [0.01, 0.99]).select("itemid", F.col("p").alias("q"))
     clipped = rows.join(p, "itemid").withColumn("value", F.least(F.greatest("value", F.col("q")[0]), F.col("q")[1]))
     return grid.hourly(clipped, ["admissionid", "itemid"], "admission_relative_ms", {"v": F.round(F.avg("value"), 6)})
