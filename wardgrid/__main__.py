@@ -6,6 +6,7 @@ token shards, vocabulary and index; query the result of a registered query."""
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from wardgrid.config import GridConfig, TokenConfig
 from wardgrid.operators import tokens as token_operators
 from wardgrid.plans import audits, grid_pipeline, token_pipeline
 from wardgrid.session import get_spark, ship_package
-from wardgrid.sources import sinks
+from wardgrid.sources import sinks, tensors
 from wardgrid.sources.tables import table
 
 
@@ -45,15 +46,19 @@ def main(argv: list[str] | None = None) -> None:
         audits.check(found)
     else:
         config = TokenConfig(seed=args.seed)
-        timeline = token_pipeline.build_events(read("numericitems"), read("listitems"), read("drugitems"), read("admissions"), config)
-        sinks.guard(spark, args.output, ["events", "tokens", "vocabulary", "index"], args.overwrite)
-        sinks.replace(timeline, f"{args.output}/events", ["split"])
+        classified = token_pipeline.classified_events(read("numericitems"), read("listitems"), read("drugitems"), read("admissions"), config)
+        sinks.guard(spark, args.output, ["events", "classified", "audit", "summary.json", "tokens", "vocabulary", "index"], args.overwrite)
+        token_pipeline.write_events(classified, args.output, config)
         if args.command == "tokens":
             ids, vocabulary = token_pipeline.build_tokens(spark.read.parquet(f"{args.output}/events"), config)
             sinks.replace(vocabulary, f"{args.output}/vocabulary")
-            shard = F.pmod(F.xxhash64("admissionid"), F.lit(16)).cast("int")
-            sinks.write_tensors(ids.withColumn("shard", shard), f"{args.output}/tokens", ["split", "admissionid"])
-            sinks.replace(token_operators.timeline_index(ids, ["split", "admissionid"], shard), f"{args.output}/index")
+            shard = F.pmod(F.xxhash64("admissionid"), F.lit(16))
+            folder = os.path.abspath(f"{args.output}/tokens") if "://" not in args.output else f"{args.output}/tokens"
+            for name in config.shares:
+                mine = ids.filter(F.col("split") == name).withColumn("shard", shard)
+                done = tensors.write_tensors(mine, f"file://{folder}/{name}" if folder.startswith("/") else f"{folder}/{name}", ["admissionid"], {"tokens": "id", "times": "time"}, per_timeline={"timelines": "admissionid"})
+                sinks.write_csv(done, f"{args.output}/tokens/{name}-files")
+                sinks.replace(token_operators.timeline_index(mine, ["admissionid"], shard), f"{args.output}/index/split={name}")
 
 
 if __name__ == "__main__":

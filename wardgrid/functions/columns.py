@@ -163,7 +163,7 @@ def rank_share(x: Column, knots: Column) -> Column:
 
 def quantile_bin(x: Column, bounds: Column) -> Column:
     """1 plus the number of bounds below x."""
-    return F.when(x.isNotNull(), F.lit(1) + F.size(F.filter(bounds, lambda b: x > b)))
+    return F.when(x.isNotNull() & bounds.isNotNull(), F.lit(1) + F.size(F.filter(bounds, lambda b: x > b)))
 
 
 def nearest_rank(values: Column, q: float) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import c
+from wardgrid.session import stored
 
 
 def boundary_events(df: DataFrame, keys: Sequence[str], code: Column, start: str, stop: str, keep: Column | None = None) -> DataFrame:
@@ -30,6 +31,25 @@ def ordered(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str
     return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
 
 
+def row_index(df: DataFrame, order: Sequence[str], parts: int, out: str = "row") -> DataFrame:
+    """Adds each row's place from 0 in an order of columns, missing values last, over the whole table.
+
+    The rows are put into `parts` ranges and numbered inside each; the ranges' sizes, `parts` numbers, move
+    them. Name enough columns: rows that are equal in all of them get their places in any order.
+    """
+    nulls = [c(o).isNull().alias(f"__n{i}") for i, o in enumerate(order)]
+    keys = [k for i, o in enumerate(order) for k in (f"__n{i}", o)]
+    ranged = stored(df.select("*", *nulls).repartitionByRange(parts, *[c(k) for k in keys]).withColumn("__p", F.spark_partition_id()))
+    sizes = {r["__p"]: r["n"] for r in ranged.groupBy("__p").agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in sorted(sizes):
+        before.append((p, total))
+        total += sizes[p]
+    place = F.row_number().over(Window.partitionBy("__p").orderBy(*[c(k) for k in keys])) - 1
+    moved = ranged.withColumn(out, place).join(df.sparkSession.createDataFrame(before, "__p int, __o long"), "__p")
+    return moved.withColumn(out, c(out) + F.col("__o")).select(*[c(x) for x in df.columns if x != out], out)
+
+
 def assigned_deaths(stays: DataFrame, person: str, stay: str, start: str, stop: str, death: str, grace_ms: int = 86_400_000) -> DataFrame:
     """Each recorded death with one stay: (person, stay, relation, hours_after, emitted, event_time).
 

@@ -47,10 +47,11 @@ def fit_quantiles(train: DataFrame, keys: Sequence[str], value: str, bins: int =
     return found.select(*keys, "n", *[F.col("values")[i - 1].alias(f"q{i}") for i in range(1, bins)])
 
 
-def coded(df: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str, out: str, bins: int = 10) -> DataFrame:
-    """Adds the number of the bin by the fitted bounds; rows without bounds go (null keys match null keys)."""
+def coded(df: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str, out: str, bins: int = 10, how: str = "inner") -> DataFrame:
+    """Adds the number of the bin by the fitted bounds; rows without bounds go, or have none if how is left
+    (null keys match null keys)."""
     table = bounds.select(*keys, F.array(*[F.col(f"q{i}") for i in range(1, bins)]).alias("__q"))
-    return null_safe(df, table, keys).withColumn(out, quantile_bin(c(value), F.col("__q"))).drop("__q")
+    return null_safe(df, table, keys, how).withColumn(out, quantile_bin(c(value), F.col("__q"))).drop("__q")
 
 
 def frequencies(df: DataFrame, keys: Sequence[str], ms: str) -> DataFrame:

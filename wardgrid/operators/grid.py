@@ -23,6 +23,16 @@ def skeleton(stays: DataFrame, key: str, hours: str) -> DataFrame:
     return stays.filter(c(hours) > 0).select(key, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("hour"))
 
 
+def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """df with its columns in a fixed order; an order that names others, lacks some or names one twice is an
+    error that says which."""
+    lacking, extra = [x for x in df.columns if x not in order], [x for x in order if x not in df.columns]
+    twice = sorted({x for x in order if list(order).count(x) > 1})
+    if lacking or extra or twice:
+        raise ValueError(f"the order lacks {lacking}, names unknown {extra} and {twice} twice")
+    return df.select(*[c(x) for x in order])
+
+
 def covered_hours(df: DataFrame, keys: Sequence[str], start: str, stop: str, width: int = HOUR_MS, clip: str | None = None, point: Column | None = None) -> DataFrame:
     """(keys, hour) of the hours that intervals touch: those that end before 0 touch none, a beginning
     before 0 counts as 0, an interval of no or negative length is one hour. `clip` is a column where the

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import c, gap_tokens, split_quantile
+from wardgrid.operators.events import row_index
 
 END = "TIMELINE_END"
 UNKNOWN = "UNK"
@@ -30,11 +31,12 @@ def expanded(events: DataFrame, group: Sequence[str], time: str, code: str, minu
 
 
 def vocabulary(tokens: DataFrame, token: str = "token", unknown: str = UNKNOWN) -> DataFrame:
-    """(token, id, n): different tokens in order from 0, the unknown one among them. A vocabulary is small
-    by its nature; it is ordered in one task."""
+    """(token, id, n): different tokens in order from 0, the unknown one among them; numbered in ranges, so no
+    task orders them all."""
     counts = tokens.groupBy(token).agg(F.count("*").alias("n"))
     all_ = counts.unionByName(tokens.sparkSession.createDataFrame([(unknown, 0)], f"{token} string, n long")).groupBy(token).agg(F.sum("n").alias("n"))
-    return all_.select(token, (F.row_number().over(Window.orderBy(token)) - 1).cast("long").alias("id"), "n")
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return row_index(all_, [token], parts, "id").select(token, F.col("id").cast("long").alias("id"), "n")
 
 
 def numbered(tokens: DataFrame, vocab: DataFrame, token: str = "token", unknown: str = UNKNOWN) -> DataFrame:

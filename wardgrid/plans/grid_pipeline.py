@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wardgrid.config import GridConfig
 from wardgrid.functions.columns import lookup
 from wardgrid.operators import anchors, fit, grid, quality, splits
+from wardgrid.session import stored
 from wardgrid.sources import sinks
 
 
@@ -27,7 +28,8 @@ def build_grid(events: DataFrame, admissions: DataFrame, items: DataFrame, confi
     stays = anchors.valid_stays(anchors.stays(admissions))
     number = events.filter(F.col("itemid").isin(list(config.tags)) & F.col("value").isNotNull() & ~F.isnan("value")).select("admissionid", "itemid", "admission_relative_ms", "value")
     good = quality.bounded(number, items, "itemid", "value", "physmin", "physmax").withColumn("tag", lookup(F.col("itemid"), config.tags))
-    long = grid.hourly(good, ["admissionid", "tag"], "admission_relative_ms", {"v": F.median("value")})
+    # Read for the fit and for the grid, so the medians are worked out once.
+    long = stored(grid.hourly(good, ["admissionid", "tag"], "admission_relative_ms", {"v": F.median("value")}))
     static = admissions.groupBy("admissionid").agg(F.min(F.coalesce("subject_id", "admissionid")).alias("person"), *[F.max(c).alias(c) for c in config.categories])
     people = splits.rounded_split(static.filter("admissionid is not null"), "person", config.shares, config.seed)
     static = static.join(people, "person").drop("person")

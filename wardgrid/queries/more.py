@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from wardgrid.functions import columns as x
 from wardgrid.operators import fit, lookups, splits
-from wardgrid.plans import audits as audit_plans
 from wardgrid.queries.aggregates import _GRID_SQL, hour_grid
 from wardgrid.queries.registry import query
 from wardgrid.queries.scans import NUMBERS, STAYS, numbers, stays, training
@@ -167,16 +166,3 @@ def op_125_samples_of_each_split(s, d):
     k = table(s, d, "admissions").filter("admissionid is not null").select(F.when(F.lower(F.trim("split")).isin("train", "training"), "train").otherwise("test").alias("split"), "admissionid").distinct()
     parts = [k.filter(F.col("split") == name).select("split", "admissionid").orderBy(splits.hash_order(F.col("admissionid"), 5), "admissionid").limit(3) for name in ("train", "test")]
     return parts[0].unionByName(parts[1])
-
-
-@query(f"with {_GRID_SQL} select rule, n from (select unnest([{{'rule': 'no split', 'n': 0}}, {{'rule': 'pulse not finite', 'n': count(*) filter (isnan(pulse) or isinf(pulse))}}, {{'rule': 'repeated keys', 'n': 0}}, {{'rule': 'several splits', 'n': 0}}, {{'rule': 'holes in hours', 'n': 0}}], recursive := true) from g)")
-def op_179_grid_audit(s, d):
-    g = hour_grid(s, d).withColumn("split", F.when(F.col("admissionid") > 0, "all"))
-    return audit_plans.audit_grid(g, ["pulse"])
-
-
-@query("select rule, n from (values ('id out of range', 0), ('place', 0), ('time goes back', 0), ('quantile without code', 0), ('end not last', 0), ('no end', 0)) t(rule, n)")
-def op_181_token_audit(s, d):
-    t = tokens.expanded(coded_events(s, d), ["admissionid"], "t", "code")
-    vocabulary = tokens.vocabulary(t)
-    return audit_plans.audit_tokens(tokens.numbered(t, vocabulary), vocabulary.count()).withColumn("n", F.col("n").cast("int"))

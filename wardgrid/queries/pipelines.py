@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardgrid.config import GridConfig, TokenConfig
-from wardgrid.plans import grid_pipeline, token_pipeline
+from wardgrid.config import GridConfig
+from wardgrid.plans import grid_pipeline
 from wardgrid.queries.registry import query
 from wardgrid.queries.scans import NUMBERS, STAYS
 from wardgrid.sources.tables import table
@@ -35,11 +35,3 @@ def grid_pipeline_hours(s, d):
     """The whole grid of all stays: the flagship."""
     out = grid_pipeline.build_grid(table(s, d, "numericitems"), table(s, d, "admissions"), table(s, d, "items"))
     return out.withColumns({t: F.round(F.col(t), 6) for t in _TAGS})
-
-
-@query()
-def token_pipeline_counts(s, d):
-    """Tokens of all timelines by split, with their ids."""
-    timeline = token_pipeline.build_events(table(s, d, "numericitems"), table(s, d, "listitems"), table(s, d, "drugitems"), table(s, d, "admissions"), TokenConfig())
-    ids, _ = token_pipeline.build_tokens(timeline)
-    return ids.groupBy("split", "token", "id").agg(F.count("*").alias("n"))

@@ -415,25 +415,6 @@ def op_158_namespaced_cohorts(s, d):
     return out.select("admissionid", "native_admissionid", "cohort", "gender", "urgency")
 
 
-@query("""with t as (select 'NUM//' || itemid as token, itemid, count(*) n from numericitems group by all), v as (select 'NUM//' || itemid as token, tag, measured from items where itemid <> 45084)
-select t.token, n, coalesce(case when itemid = 44062 then 'potassium' else tag end, 'unmapped') as target, case when itemid in (46094, 46095) then false else coalesce(measured, false) end as emit from t left join v using (token)""")
-def op_176_policy_layers(s, d):
-    src = table(s, d, "numericitems").groupBy("itemid").agg(F.count("*").alias("n")).withColumn("token", F.concat(F.lit("NUM//"), F.col("itemid").cast("string")))
-    vocab = table(s, d, "items").filter("itemid <> 45084").select("itemid", F.col("tag").alias("target"), F.col("measured").alias("emit"))
-    state = src.join(vocab, "itemid", "left")
-    state = lookups.overwritten(state, s.createDataFrame([("NUM//44062", "potassium")], "token string, target string"), "token", ["target"])
-    state = lookups.overwritten(state, s.createDataFrame([("NUM//46094", False), ("NUM//46095", False)], "token string, emit boolean"), "token", ["emit"])
-    return state.select("token", "n", F.coalesce("target", F.lit("unmapped")).alias("target"), F.coalesce("emit", F.lit(False)).alias("emit"))
-
-
-@query("""with v as (select itemid, tag, target_unit, physmin, physmax, count(*) over (partition by tag) c from items) select rule, n from (select unnest([{'rule': 'repeated tag', 'n': count(*) filter (c > 1)}, {'rule': 'no unit', 'n': count(*) filter (target_unit is null or target_unit = 'None')}, {'rule': 'reversed bounds', 'n': count(*) filter (physmin > physmax)}], recursive := true) from v)""")
-def op_177_vocabulary_contract(s, d):
-    from pyspark.sql import Window
-
-    v = table(s, d, "items").withColumn("c", F.count("*").over(Window.partitionBy("tag")))
-    return events.violations(v, {"repeated tag": F.col("c") > 1, "no unit": F.col("target_unit").isNull() | (F.col("target_unit") == "None"), "reversed bounds": F.col("physmin") > F.col("physmax")})
-
-
 @query(f"""with {STAYS}, k as (select distinct patientid, subject_id, admissionid from admissions), r as (select subject_id, count(distinct admissionid) n_stays, sum((dischargedat - admittedat) / 3600000.0) los from k join stays using (admissionid) group by 1)
 select subject_id, n_stays, round(los, 6) as total_hours from r""")
 def op_174_subject_metadata(s, d):

@@ -56,6 +56,15 @@ def cached(spark: SparkSession, path: str, build, rebuild: bool = False) -> Data
     return spark.read.parquet(path)
 
 
+def input_mode(spark: SparkSession, csv: str, shards: str | None) -> str:
+    """`shards` if there is such a dataset, else `csv` if there is such a file; neither is an error."""
+    if shards and exists(spark, shards):
+        return "shards"
+    if exists(spark, csv):
+        return "csv"
+    raise FileNotFoundError(f"neither {shards} nor {csv}")
+
+
 def prefer(spark: SparkSession, derived: str, raw: str) -> str:
     """The derived dataset's path if it is there, else the raw one's."""
     return derived if exists(spark, derived) else raw
@@ -64,3 +73,10 @@ def prefer(spark: SparkSession, derived: str, raw: str) -> str:
 def read_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Ids of a text file, one a line; what isn't a number is passed over."""
     return spark.read.text(path).select(F.trim("value").try_cast("bigint").alias(key)).filter(f"{key} is not null").distinct()
+
+
+def scoped(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+    """(df's rows of the listed ids, warnings): how many ids df doesn't have, and the first few of them."""
+    unknown = ids.join(df.select(key).distinct(), key, "left_anti")
+    n, few = unknown.count(), [str(r[0]) for r in unknown.orderBy(key).limit(10).collect()]
+    return df.join(ids, key, "left_semi"), [f"{n} ids of {key} are unknown, such as {', '.join(few)}"] if n else []

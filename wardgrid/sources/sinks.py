@@ -7,6 +7,9 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardgrid.functions.columns import c
 
 
 def _fs(spark: SparkSession, path: str):
@@ -16,15 +19,30 @@ def _fs(spark: SparkSession, path: str):
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Writes beside the path, then takes its place, so a dataset may be rewritten from itself and a failed
-    write leaves the old one."""
+    """Writes beside the path, then takes its place, so a dataset may be rewritten from itself.
+
+    The old dataset is moved aside, the new one moved in, and only then is the old one deleted: at any
+    moment one of them is there whole. If the new one can't be moved in, the old one is put back.
+    """
     fs, target, jvm = _fs(df.sparkSession, path)
-    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex[:8]
+    new, old = (jvm.org.apache.hadoop.fs.Path(f"{path}.{what}-{mark}") for what in ("new", "old"))
     writer = df.write
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(beside)
-    fs.delete(target, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(beside), target):
-        raise OSError(f"{beside} could not take the place of {path}")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new.toString())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"{path} could not be moved aside; the new dataset is {new.toString()}")
+    if not fs.rename(new, target):
+        if fs.exists(old):
+            fs.rename(old, target)
+        raise OSError(f"{new.toString()} could not take the place of {path}")
+    fs.delete(old, True)
+
+
+def write_by_key(df: DataFrame, path: str, key: str, parts: int = 64) -> None:
+    """Parquet by `part`, the key's remainder, so that all rows of a key lie in one folder; null keys in part -1."""
+    part = F.coalesce(F.pmod(c(key).cast("long"), F.lit(parts)).cast("int"), F.lit(-1))
+    replace(df.withColumn("part", part).repartition("part"), path, ["part"])
 
 
 def write_shards(df: DataFrame, path: str, split: str = "split", shard: str = "shard", order: Sequence[str] = ()) -> None:
@@ -44,6 +62,12 @@ def guard(spark: SparkSession, path: str, known: Sequence[str], overwrite: bool
     fs.mkdirs(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a dataset of ours."""
+    fs, target, _ = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def write_json(spark: SparkSession, content: Mapping, path: str) -> None:
     """A small JSON file beside a dataset."""
     fs, target, _ = _fs(spark, path)
@@ -57,11 +81,3 @@ def write_json(spark: SparkSession, content: Mapping, path: str) -> None:
 def write_csv(df: DataFrame, path: str) -> None:
     """A small table as one CSV file in a folder."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-
-
-def write_tensors(tokens: DataFrame, path: str, group: Sequence[str], shard: str = "shard") -> None:
-    """Token shards as columns: each timeline's ids and times as arrays, by shard, with their first place."""
-    from pyspark.sql import functions as F
-
-    rows = tokens.groupBy(shard, *group).agg(F.sort_array(F.collect_list(F.struct("seq", "id", "time"))).alias("t"))
-    replace(rows.select(shard, *group, F.col("t.id").alias("ids"), F.col("t.time").alias("times"), F.size("t").alias("n")), path, [shard])
