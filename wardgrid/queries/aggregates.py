@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardgrid.config import CATALOGUE
 from wardgrid.functions import columns as x
 from wardgrid.operators import audits, cohort, events, fit, grid, quality
 from wardgrid.operators.quantiles import percentiles
@@ -171,15 +172,15 @@ def op_91k_value_counts(s, d):
     return table(s, d, "listitems").groupBy("itemid", "value").agg(F.count("*").alias("n"))
 
 
+TAGS = CATALOGUE | {41011: "pulse", 41015: "pressure", 42021: "warmth"}
 _GRID_SQL = f"""{STAYS}, {NUMBERS}, sk as (select admissionid, unnest(range(cast(ceil((dischargedat - admittedat) / 3600000.0) as bigint))) as hour from stays where dischargedat > admittedat),
-hv as (select admissionid, {HOUR} as hour, itemid, median(value) v from numbers where itemid in (41011, 41015, 42021) and admission_relative_ms >= 0 group by all),
-w as (select admissionid, hour, max(v) filter (itemid = 41011) as pulse, max(v) filter (itemid = 41015) as pressure, max(v) filter (itemid = 42021) as warmth from hv group by all),
-g as (select sk.admissionid, sk.hour, pulse, pressure, warmth from sk left join w using (admissionid, hour))"""
-TAGS = {41011: "pulse", 41015: "pressure", 42021: "warmth"}
+hv as (select admissionid, {HOUR} as hour, itemid, median(value) v from numbers where admission_relative_ms >= 0 group by all),
+w as (select admissionid, hour, {', '.join(f'max(v) filter (itemid = {i}) as {t}' for i, t in TAGS.items())} from hv group by all),
+g as (select sk.admissionid, sk.hour, {', '.join(TAGS.values())} from sk left join w using (admissionid, hour))"""
 
 
 def hour_grid(s, d):
-    """The small dense grid that several queries start from."""
+    """The dense grid of all items that several queries start from."""
     rows = numbers(s, d).filter(F.col("itemid").isin(list(TAGS)))
     long = grid.hourly(rows, ["admissionid", "itemid"], "admission_relative_ms", {"v": F.median("value")}).withColumn("tag", x.lookup(F.col("itemid"), TAGS))
     return grid.assembled(grid.skeleton(stays(s, d), "admissionid", "los_hours"), [grid.wide(long, ["admissionid", "hour"], "tag", "v", list(TAGS.values()))], ["admissionid", "hour"])
@@ -195,7 +196,7 @@ def op_99_skeleton(s, d):
     return grid.skeleton(stays(s, d), "admissionid", "los_hours")
 
 
-@query(f"with {_GRID_SQL} select admissionid, hour, {', '.join(f'last_value({t} ignore nulls) over (partition by admissionid order by hour rows unbounded preceding) as {t}' for t in ('pulse', 'pressure'))}, coalesce(last_value(warmth ignore nulls) over (partition by admissionid order by hour rows unbounded preceding), 0) as warmth from g")
+@query(f"with {_GRID_SQL} select admissionid, hour, {', '.join(f'last_value({t} ignore nulls) over (partition by admissionid order by hour rows unbounded preceding) as {t}' for t in TAGS.values() if t != 'warmth')}, coalesce(last_value(warmth ignore nulls) over (partition by admissionid order by hour rows unbounded preceding), 0) as warmth from g")
 def op_92_forward_fill(s, d):
     return grid.forward_filled(hour_grid(s, d), "admissionid", "hour", list(TAGS.values()), zero=["warmth"])
 
@@ -232,13 +233,13 @@ def op_104_points_to_hours(s, d):
     return rows.select("admissionid", "itemid", x.bucket(F.col("admission_relative_ms")).alias("hour")).distinct()
 
 
-@query("""with p as (select admissionid, itemid, count(*) as n from listitems group by all)
-select admissionid, """ + ", ".join(f"max(n) filter (itemid = {i}) as item_{i}" for i in range(61001, 61009)) + " from p group by 1")
+@query("""with p as (select admissionid, itemid, count(*) as n from numericitems group by all)
+select admissionid, """ + ", ".join(f"max(n) filter (itemid = {i}) as item_{i}" for i in CATALOGUE) + " from p group by 1")
 def op_105_pivot(s, d):
-    p = table(s, d, "listitems").groupBy("admissionid", "itemid").agg(F.count("*").alias("n")).withColumn("tag", F.concat(F.lit("item_"), F.col("itemid").cast("string")))
+    p = table(s, d, "numericitems").groupBy("admissionid", "itemid").agg(F.count("*").alias("n")).withColumn("tag", F.concat(F.lit("item_"), F.col("itemid").cast("string")))
     # Entities without any listed tag have a row too.
     ids = p.select("admissionid").distinct()
-    return ids.join(grid.wide(p, ["admissionid"], "tag", "n", [f"item_{i}" for i in range(61001, 61009)]), "admissionid", "left")
+    return ids.join(grid.wide(p, ["admissionid"], "tag", "n", [f"item_{i}" for i in CATALOGUE]), "admissionid", "left")
 
 
 @query("""select admissionid, t as time, 'DRUG//' || itemid || '//' || k as code from (select admissionid, itemid, unnest([{'t': start, 'k': 'START'}, {'t': stop, 'k': 'END'}], recursive := true) from drugitems where stop >= start and start <> -1899)""")
@@ -257,9 +258,9 @@ def op_107_context_events(s, d):
     return events.facts(a, ["admissionid"], made)
 
 
-@query(f"with {_GRID_SQL} select admissionid, hour, pulse, warmth, case when pulse is null then 0 else 1 end as pulse__observed, case when warmth is null then 0 else 1 end as warmth__observed from g")
+@query(f"with {_GRID_SQL} select *, {', '.join(f'case when {t} is null then 0 else 1 end as {t}__observed' for t in TAGS.values())} from g")
 def op_115_presence_mask(s, d):
-    return grid.masked(hour_grid(s, d).select("admissionid", "hour", "pulse", "warmth"), ["pulse", "warmth"])
+    return grid.masked(hour_grid(s, d), list(TAGS.values()))
 
 
 @query("select admissionid, 0 as dialysis_on, 0.0 as infusion_rate, cast(null as double) as score, cast(null as varchar) as rhythm from (select distinct admissionid from admissions)")
@@ -267,10 +268,15 @@ def op_114_structural_zeros(s, d):
     return grid.structural_zeros(table(s, d, "admissions").select("admissionid").distinct(), {"dialysis_on": "indicator", "infusion_rate": "rate", "score": "numeric", "rhythm": "category"})
 
 
-@query("""select admissionid, max(gender) as gender, """ + ", ".join(f"cast(coalesce(max(gender) = '{g}', false) as integer) as gender_{n}" for g, n in (("Man", "man"), ("Vrouw", "vrouw"))) + """, cast(not coalesce(max(gender) in ('Man', 'Vrouw'), false) as integer) as gender_missing from admissions group by 1""")
+_GROUPS = {"gender": ("Man", "Vrouw"), "agegroup": ("18-39", "40-49", "50-59", "60-69", "70-79", "80+")}
+
+
+@query("select admissionid, " + ", ".join(f"max({k}) as {k}, " + ", ".join(f"cast(coalesce(max({k}) = '{g}', false) as integer) as {k}_{fit.sanitized(g)}" for g in v) + f", cast(not coalesce(max({k}) in ({', '.join(repr(g) for g in v)}), false) as integer) as {k}_missing" for k, v in _GROUPS.items()) + " from admissions group by 1")
 def op_112_one_hot(s, d):
-    a = table(s, d, "admissions").groupBy("admissionid").agg(F.max("gender").alias("gender"))
-    return fit.one_hot(a, "gender", ["Man", "Vrouw"], "gender")
+    a = table(s, d, "admissions").groupBy("admissionid").agg(*[F.max(k).alias(k) for k in _GROUPS])
+    for k, groups in _GROUPS.items():
+        a = fit.one_hot(a, k, groups, k)
+    return a
 
 
 @query("select admissionid, case when value in (3, 4) then 2 else value + 0.0 end as score, count(*) as n from numericitems where itemid = 45082 and value is not null and not isnan(value) group by all")

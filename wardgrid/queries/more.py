@@ -64,13 +64,13 @@ def op_97_places_in_timelines(s, d):
 _AB = "(values (42025, 18.0, cast(null as double)), (42021, 1.8, 32.0), (41012, cast(null as double), 1.5)) c(itemid, a, b)"
 
 
-@query(f"with {NUMBERS} select numericid, round(value * coalesce(a, 1.0) + coalesce(b, 0.0), 6) as value from numbers join {_AB} using (itemid)")
+@query(f"with {NUMBERS} select numericid, round(value * coalesce(a, 1.0) + coalesce(b, 0.0), 6) as value from numbers left join {_AB} using (itemid)")
 def op_136_affine_and_factor(s, d):
     t = s.createDataFrame([(42025, 18.0, None), (42021, 1.8, 32.0), (41012, None, 1.5)], "itemid long, a double, b double")
-    return numbers(s, d).join(F.broadcast(t), "itemid").select("numericid", F.round(x.affine(F.col("value"), F.col("a"), F.col("b")), 6).alias("value"))
+    return numbers(s, d).join(F.broadcast(t), "itemid", "left").select("numericid", F.round(x.affine(F.col("value"), F.col("a"), F.col("b")), 6).alias("value"))
 
 
-@query(f"with {_GRID_SQL} select admissionid, hour, coalesce(pulse, 0) as pulse, pressure, coalesce(warmth, 37) as warmth from g")
+@query(f"with {_GRID_SQL} select * replace (coalesce(pulse, 0) as pulse, coalesce(warmth, 37) as warmth) from g")
 def op_144_zero_and_default_fill(s, d):
     return hour_grid(s, d).fillna(0.0, ["pulse"]).fillna(37.0, ["warmth"])
 

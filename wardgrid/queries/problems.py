@@ -79,7 +79,8 @@ def p7_wide_converted(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "items")
     rows = _converted(spark, d)
     attributes = discover_attributes(table(spark, d, "numericitems"), items, "itemid", "valuetype")
-    return pivot_wide(rows, "admissionid", "itemid", "target_value", attributes, ["measuredat", "registeredat", "numericid"], entities=table(spark, d, "admissions"))
+    wide = pivot_wide(rows, "admissionid", "itemid", "target_value", attributes, ["measuredat", "registeredat", "numericid"], entities=table(spark, d, "admissions"))
+    return wide.withColumns({a.name: F.round(F.col(a.name), 6) for a in attributes if a.kind == "decimal"})
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_periods, p3_found, p5_found, p5_grid, p6_found, p6_converted, p7_wide, p7_wide_converted)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wardgrid.queries.units_sql import CONVERTED
+
 _MEDICATION = "select admissionid, start s, stop e from drugitems where admissionid is not null and start <> -1899 and stop <> -1899 and stop > start"
 _REACH = f"""with d as ({_MEDICATION}),
 o as (select *, max(e) over (partition by admissionid order by s, e rows between unbounded preceding and 1 preceding) p from d)"""
@@ -28,7 +30,14 @@ _WIDE = f"""with r as (
 a as (select admissionid, itemid, v from r where k = 1 union all select distinct admissionid, null, null from admissions)
 select admissionid, {", ".join(_wide_column(i) for i in sorted((*INTEGER_ITEMS, *DECIMAL_ITEMS, *FLAG_ITEMS)))} from a group by admissionid"""
 
+# The same over converted values, decimals rounded to 6 places.
+_WIDE_CONVERTED = _WIDE.replace("with r as", f"with {CONVERTED}, rw as").replace("value v, row_number", "target_value v, row_number").replace("numericid desc nulls last, value desc", "numericid desc nulls last, target_value desc")
+_WIDE_CONVERTED = _WIDE_CONVERTED.replace("from numericitems where value is not null and not isnan(value)", "from z where target_value is not null and not isnan(target_value)").replace("a as (select admissionid, itemid, v from r", "aw as (select admissionid, itemid, v from rw").replace(" from a group by", " from aw group by")
+for _i in DECIMAL_ITEMS:
+    _WIDE_CONVERTED = _WIDE_CONVERTED.replace(f"max(v) filter (itemid = {_i}) as", f"round(max(v) filter (itemid = {_i}) + 0.0, 6) as")
+
 ORACLES = {
+    "p7_wide_converted": _WIDE_CONVERTED,
     "p1_found": f"{_REACH} select admissionid, p as gapstart, s as gapstop from o where s > p",
     "p1_periods": f"""{_REACH}, k as (select *, sum(case when p is null or s > p then 1 else 0 end) over (partition by admissionid order by s, e rows unbounded preceding) g from o)
 select admissionid, min(s) as periodstart, max(e) as periodstop from k group by admissionid, g""",

@@ -57,13 +57,13 @@ def op_117_event_order(s, d):
     return events.ordered(table(s, d, "listitems"), ["admissionid"], ["measuredat", "itemid", "valueid", "registeredat", "registeredby", "updatedat", "updatedby"]).select("admissionid", "itemid", "valueid", "measuredat", "seq")
 
 
-@query("select admissionid, itemid, 'n' as source from numericitems where itemid = 45084 union all select admissionid, itemid, 'l' from listitems")
+@query("select admissionid, itemid, 'n' as source from numericitems union all select admissionid, itemid, 'l' from listitems")
 def op_126_union_all(s, d):
-    a = table(s, d, "numericitems").filter("itemid = 45084").select("admissionid", "itemid", F.lit("n").alias("source"))
+    a = table(s, d, "numericitems").select("admissionid", "itemid", F.lit("n").alias("source"))
     return a.unionByName(table(s, d, "listitems").select("admissionid", "itemid", F.lit("l").alias("source")))
 
 
-@query("select admissionid, itemid, cast(value as varchar) as value, cast(null as bigint) as valueid from numericitems where itemid = 45084 and false union all select admissionid, itemid, value, valueid from listitems union all select admissionid, itemid, null, null from drugitems")
+@query("select admissionid, itemid, value, valueid from listitems union all select admissionid, itemid, null, null from drugitems")
 def op_127_union_by_name(s, d):
     return table(s, d, "listitems").select("admissionid", "itemid", "value", "valueid").unionByName(table(s, d, "drugitems").select("admissionid", "itemid"), allowMissingColumns=True)
 
@@ -299,8 +299,8 @@ def op_168_quantile_codes(s, d):
     return fit.coded(rows, bounds, ["itemid", "unit"], "value", "bin").select("numericid", "itemid", "bin")
 
 
-@query(f"""with {_GRID_SQL}, u as (unpivot g on pulse, pressure, warmth into name tag value v), m as (select tag, avg(v) mean, stddev_pop(v) std, count(*) n from u where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by 1)
-select admissionid, hour, tag, round((v - mean) / case when std > 0 then std else 1.0 end, 6) as z from u join m using (tag)""")
+@query(f"""with {_GRID_SQL}, u as (unpivot g on {', '.join(TAGS.values())} into name tag value v), m as (select tag, avg(v) mean, stddev_pop(v) std, count(*) n from u where admissionid in (select admissionid from admissions where lower(trim(split)) in ('train', 'training')) group by 1)
+select admissionid, hour, tag, round(case when n >= 10 then (v - mean) / case when std > 0 then std else 1.0 end else v end, 6) as z from u left join m using (tag)""")
 def op_162_scaled_grid(s, d):
     g = hour_grid(s, d)
     long = g.unpivot(["admissionid", "hour"], list(TAGS.values()), "tag", "v").filter("v is not null")
@@ -324,19 +324,24 @@ def op_166_weighted_percentiles(s, d):
     return fit.pooled_percentiles(rows, "itemid", "rate", "copies", [0.1, 0.5, 0.9]).select("itemid", *[F.round(k, 6).alias(k) for k in ("p10", "p50", "p90")])
 
 
-@query("""with f as (select admissionid, itemid, 1.0 / avg(g) as v from (select admissionid, itemid, t - lag(t) over (partition by admissionid, itemid order by t) g from (select admissionid, itemid, admission_relative_ms t from numericitems where admission_relative_ms is not null)) where g > 0 group by all),
-c as (select itemid, count(v) n, avg(v) mean, stddev_samp(v) sd from f group by 1), r as (select itemid, count(*) n_rows from numericitems group by 1), k as (select r.itemid, n_rows, n, mean, mean - 1.96 * sd / sqrt(n) low, mean + 1.96 * sd / sqrt(n) high from r left join c using (itemid))
+_DENSE = """f as (select admissionid, itemid, 1.0 / avg(g) as v from (select admissionid, itemid, t - lag(t) over (partition by admissionid, itemid order by t) g from (select admissionid, itemid, admission_relative_ms t from numericitems where admission_relative_ms is not null)) where g > 0 group by all),
+c as (select itemid, count(v) n, avg(v) mean, stddev_samp(v) sd from f group by 1), r as (select itemid, count(*) n_rows from numericitems group by 1), k as (select r.itemid, n_rows, n, mean, mean - 1.96 * sd / sqrt(n) low, mean + 1.96 * sd / sqrt(n) high from r left join c using (itemid))"""
+
+
+@query(f"""with {_DENSE}
 select itemid, n_rows, case when coalesce(low > 1.0 / 2700000, false) then 'dense' when coalesce(n <= 2 and n_rows >= 500000 and mean > 1.0 / 2700000, false) then 'rare_dense' when coalesce(high < 1.0 / 2700000, false) then 'sparse' else 'unsettled' end as status from k""")
 def op_170_dense_signals(s, d):
     return fit.dense_signals(table(s, d, "numericitems"), "admissionid", "itemid", "admission_relative_ms", 2_700_000).select("itemid", "n_rows", "status")
 
 
-@query("""with e as (select admissionid, itemid, admission_relative_ms ms, value from numericitems where admission_relative_ms is not null and value is not null and not isnan(value))
-select admissionid, itemid, (cast(floor(ms / 3600000.0) as bigint) + 1) * 3600000 as admission_relative_ms, round(avg(value), 6) as value, count(*) as raw_rows_in_bin, 'causal_mean' as binning_method from e where itemid in (41011, 41012) group by admissionid, itemid, floor(ms / 3600000.0)
-union all select admissionid, itemid, ms, round(value + 0.0, 6), 1, 'raw_passthrough' from e where itemid not in (41011, 41012)""")
+@query(f"""with {_DENSE}, ds as (select itemid from k where coalesce(low > 1.0 / 2700000, false) or coalesce(n <= 2 and n_rows >= 500000 and mean > 1.0 / 2700000, false)), e as (select admissionid, itemid, admission_relative_ms ms, value from numericitems where admission_relative_ms is not null and value is not null and not isnan(value))
+select admissionid, itemid, (cast(floor(ms / 3600000.0) as bigint) + 1) * 3600000 as admission_relative_ms, round(avg(value), 6) as value, count(*) as raw_rows_in_bin, 'causal_mean' as binning_method from e where itemid in (select itemid from ds) group by admissionid, itemid, floor(ms / 3600000.0)
+union all select admissionid, itemid, ms, round(value + 0.0, 6), 1, 'raw_passthrough' from e where itemid not in (select itemid from ds)""")
 def op_171_causal_binning(s, d):
     rows = numbers(s, d).filter("admission_relative_ms is not null")
-    out = grid.binned(rows, s.createDataFrame([(41011,), (41012,)], "itemid long"), "itemid", ["admissionid", "itemid"], "admission_relative_ms", "value")
+    # Which signals are dense is the inventory's result.
+    dense = fit.dense_signals(table(s, d, "numericitems"), "admissionid", "itemid", "admission_relative_ms", 2_700_000).filter("is_dense").select("itemid")
+    out = grid.binned(rows, dense, "itemid", ["admissionid", "itemid"], "admission_relative_ms", "value")
     return out.withColumn("value", F.round(F.col("value") + 0.0, 6))
 
 
