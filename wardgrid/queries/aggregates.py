@@ -150,7 +150,7 @@ def op_91h_train_moments(s, d):
 
 
 @query("""select itemid, count(*) as n_rows, avg(case when rate is null then 1.0 else 0.0 end) as rate_missing, round(avg(rate), 6) as rate_mean,
-round(avg(pow(rate - m, 3)) / pow(stddev_pop(rate), 3), 6) as rate_skewness from (select *, avg(rate) over (partition by itemid) m from drugitems) group by 1""")
+round(avg(pow(rate - m, 3)) / nullif(pow(stddev_pop(rate), 3), 0), 6) as rate_skewness from (select *, avg(rate) over (partition by itemid) m from drugitems) group by 1""")
 def op_91i_profile(s, d):
     return quality.profile(table(s, d, "drugitems"), "itemid", ["rate"]).withColumns({k: F.round(k, 6) for k in ("rate_mean", "rate_skewness")})
 
