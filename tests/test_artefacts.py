@@ -178,3 +178,46 @@ def test_evidence_adapters(spark):
     both = evidence.all_evidence(parts)
     assert both.count() == 4 == both.select("evidence_id").distinct().count() and both.columns == ["evidence_id", *evidence.LONG]
     assert set(evidence.ADAPTERS) == {"usagi", "concept_map", "value_map", "source_concepts", "dictionary", "old_dictionary", "flowsheet", "context", "vocabulary"}
+
+
+def test_review_is_read_back(spark, tmp_path):
+    from wardgrid.sources import resources, review
+
+    features = [{"tag": "hf", "reconstruction_type": "direct_numeric", "target_unit": "/min", "structural_zero": "no"}, {"tag": "pump", "reconstruction_type": "treatment_indicator", "target_unit": None, "structural_zero": "yes"}]
+    found = spark.createDataFrame([("hf", i, "a|b\nc" if i == 1 else None, 100 - i % 3) for i in range(1, 30)] + [("other", 1, None, 5)], "tag string, itemid long, label string, n long")
+    review.write_review(spark, features, found, str(tmp_path / "r"), many=3)
+    text = (tmp_path / "r" / "review.md").read_text()
+    parsed, problems = resources.parse_manifest(text)
+    assert problems == [] and parsed["hf"] == {"reconstruction_type": "direct_numeric", "target_unit": "/min", "keep": [3, 6, 9], "structural_zero": False}
+    assert parsed["pump"]["keep"] == [] and parsed["pump"]["structural_zero"]
+    assert spark.read.option("header", True).csv(str(tmp_path / "r" / "candidates")).count() == 4
+    assert spark.read.option("header", True).csv(str(tmp_path / "r" / "manifest")).count() == 2
+    assert review.examples(found.filter("false"), "tag", "n", ["itemid"]).count() == 0
+
+
+def test_sidecars(spark, tmp_path):
+    from wardgrid.sources import sidecars
+
+    columns = ["k", "hf", "hf__observed", "sex_man", "sex_missing"]
+    features = {"hf": {"kind": "integer", "unit": "/min"}, "gone": {"kind": "decimal", "unit": None}, "sex": {"kind": "category", "unit": None}}
+    sidecars.write_sidecars(spark, str(tmp_path), columns, features, {"sex": ["Man", "Vrouw"]}, ["gone", "hf"])
+    schema = json.loads((tmp_path / "feature_schema.json").read_text())
+    assert schema == {"hf": {"kind": "integer", "unit": "/min", "columns": ["hf"], "mask": "hf__observed"}, "sex": {"kind": "category", "unit": None, "columns": ["sex_man", "sex_missing"]}}
+    assert json.loads((tmp_path / "targets.json").read_text()) == {"targets": ["hf"], "missing": ["gone"]}
+    assert rows(spark.read.option("header", True).csv(str(tmp_path / "categorical_encoding")), "column") == [("sex_man",), ("sex_missing",), ("sex_vrouw",)]
+
+
+def test_admission_table_and_spread_sample(spark):
+    from datetime import datetime
+
+    from wardgrid.operators import anchors
+
+    raw_ = spark.createDataFrame([(1, 10, "a", 0, 7_200_000), (1, 11, "b", -1899, None), (2, 12, None, 5, 6)], "p long, s long, g string, admittedat long, dischargedat long")
+    epochs = {"a": datetime(2003, 1, 1), "b": datetime(2010, 1, 1)}
+    call = lambda e: anchors.admission_table(raw_, "p", "s", "g", e, {"admittedat": "at", "dischargedat": "to"}, "own")
+    assert rows(call(epochs), "stay_id", "subject_id", "at", "to", "los_hours") == [(10, 1, datetime(2003, 1, 1), datetime(2003, 1, 1, 2), 2.0), (11, 1, None, None, None), (12, 2, None, None, 1 / 3_600_000)]
+    with pytest.raises(Exception, match="no epoch for g b"):
+        call({"a": epochs["a"]}).collect()
+    stays = spark.createDataFrame([(i, float(i)) for i in range(100)] + [(200, None)], "k long, h double")
+    assert rows(anchors.spread_sample(stays, "k", "h", 4), "k") == [(12,), (37,), (62,), (87,)]
+    assert anchors.spread_sample(stays.limit(3), "k", "h", 9).count() == 3 and anchors.spread_sample(stays.filter("false"), "k", "h", 9).count() == 0

@@ -14,7 +14,7 @@ from wardgrid.config import GridConfig, TokenConfig
 from wardgrid.operators import tokens as token_operators
 from wardgrid.plans import audits, grid_pipeline, token_pipeline
 from wardgrid.session import get_spark, ship_package
-from wardgrid.sources import sinks, tensors
+from wardgrid.sources import sidecars, sinks, tensors
 from wardgrid.sources.tables import table
 
 
@@ -37,11 +37,13 @@ def main(argv: list[str] | None = None) -> None:
         sinks.replace(QUERIES[args.name](spark, args.input), f"{args.output}/data")
     elif args.command == "grid":
         config = GridConfig(seed=args.seed)
-        sinks.guard(spark, args.output, ["data", "schema.json", "audit"], args.overwrite)
+        sinks.guard(spark, args.output, ["data", "schema.json", "feature_schema.json", "targets.json", "categorical_encoding", "audit"], args.overwrite)
         grid_pipeline.write_grid(grid_pipeline.build_grid(read("numericitems"), read("admissions"), read("items"), config), f"{args.output}/data", config)
         written = spark.read.parquet(f"{args.output}/data")
         found = audits.audit_grid(written, list(dict.fromkeys(config.tags.values())))
         sinks.write_csv(found, f"{args.output}/audit")
+        units = {r["tag"]: {"kind": r["valuetype"], "unit": r["target_unit"]} for r in read("items").select("tag", "valuetype", "target_unit").collect()}
+        sidecars.write_sidecars(spark, args.output, written.columns, units | {k: {"kind": "category", "unit": None} for k in config.categories}, config.categories)
         sinks.write_json(spark, {"columns": dict(written.dtypes), "seed": args.seed, "shares": dict(config.shares)}, f"{args.output}/schema.json")
         audits.check(found)
     else:

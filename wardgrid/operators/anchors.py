@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.columns import HOUR_MS, UNKNOWN_TIME, add_ms, c, known_time
+from wardgrid.functions.columns import HOUR_MS, UNKNOWN_TIME, add_ms, c, known_time, lookup
+from wardgrid.operators.events import row_index
 
 
 def stays(admissions: DataFrame, key: str = "admissionid") -> DataFrame:
@@ -17,6 +19,32 @@ def stays(admissions: DataFrame, key: str = "admissionid") -> DataFrame:
     return one.withColumn("los_hours", (F.col("dischargedat") - F.col("admittedat")) / F.lit(float(HOUR_MS)))
 
 
+def admission_table(raw: DataFrame, person: str, stay: str, group: str, epochs: Mapping[str, datetime], times: Mapping[str, str], dataset: str) -> DataFrame:
+    """raw with subject_id, hadm_id and stay_id beside the native ids, the data set's name, a time of day for
+    each of `times` (column of ms -> new column) counted from its group's epoch, and los_hours.
+
+    A group that `epochs` doesn't know is an error, raised when the rows are made; a null group, and an
+    unknown time, give null times.
+    """
+    known = lookup(c(group).cast("string"), {k: v.isoformat(sep=" ") for k, v in epochs.items()})
+    wrong = F.when(c(group).isNotNull() & known.isNull(), F.raise_error(F.concat(F.lit(f"no epoch for {group} "), c(group).cast("string"))))
+    base = F.coalesce(wrong.cast("string"), known).cast("timestamp_ntz")
+    ids = {"subject_id": c(person), "hadm_id": c(stay), "stay_id": c(stay), "source_dataset": F.lit(dataset)}
+    out = raw.withColumns(ids).withColumns({new: add_ms(base, known_time(c(ms))) for ms, new in times.items()})
+    return out.withColumn("los_hours", (F.col("dischargedat") - F.col("admittedat")) / F.lit(float(HOUR_MS)))
+
+
+def spread_sample(stays: DataFrame, key: str, length: str, many: int, parts: int = 64) -> DataFrame:
+    """`many` stays spread over all lengths: of the stays in order of length (ties: key) those in the middle of
+    `many` equal parts. Null lengths are passed over; fewer stays than that are all taken."""
+    known = stays.filter(c(length).isNotNull())
+    n = known.count()
+    placed = row_index(known, [length, key], parts, "__row")
+    nth = F.floor(F.col("__row") * F.lit(many) / F.lit(max(n, 1)))
+    middle = F.floor((nth + F.lit(0.5)) * F.lit(n) / F.lit(many))
+    return placed.filter((F.lit(n) <= F.lit(many)) | (F.col("__row") == middle)).drop("__row")
+
+
 def valid_stays(anchors: DataFrame) -> DataFrame:
     """Stays that last more than 0 hours."""
     return anchors.filter("los_hours > 0")

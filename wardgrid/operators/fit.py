@@ -85,6 +85,13 @@ def cohort_weights(n: Mapping[str, int]) -> dict[str, float]:
     return {k: math.sqrt(v) / total for k, v in n.items()} if total else {k: 0.0 for k in n}
 
 
+def cohort_weight_table(sizes: DataFrame, size: str = "n") -> DataFrame:
+    """sizes (a row a cohort) with `weight`, as cohort_weights; null sizes count as 0."""
+    root = F.sqrt(F.coalesce(c(size).cast("double"), F.lit(0.0)))
+    total = sizes.agg(F.sum(root)).first()[0] or 0.0
+    return sizes.withColumn("weight", root / F.lit(total) if total else F.lit(0.0))
+
+
 def pooled_moments(parts: DataFrame, key: str, weight: str) -> DataFrame:
     """(key, mean, std) pooled over cohorts' rows (key, mean, std, weight): variance within and between.
     Weights are taken relative to those of the cohorts that have the key."""

@@ -5,11 +5,12 @@ Queries that write do so in the shared checkpoint folder and give what is read b
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wardgrid.operators import cohort, events, fit, grid, lookups, splits, tokens
+from wardgrid.operators import anchors, cohort, events, fit, grid, lookups, splits, tokens
 from wardgrid.operators.contract import contract
 from wardgrid.operators.policies import Manifest, Rule, account, applied
 from wardgrid.plans import audits as audit_plans
@@ -19,7 +20,7 @@ from wardgrid.queries.registry import query
 from wardgrid.queries.scans import NUMBER, NUMBERS, STAYS, numbers, stays, training
 from wardgrid.queries.timelines import _CODES, _EXPANDED, _IDS, _VOCAB, coded_events
 from wardgrid.session import ensure_checkpoint_dir
-from wardgrid.sources import evidence, parameters, sinks, tensors
+from wardgrid.sources import evidence, parameters, review, sinks, tensors
 from wardgrid.sources.tables import table
 
 
@@ -160,6 +161,50 @@ def op_37_tensor_files(s, d):
     return tensors.read_tensors(s, path)
 
 
+@query("""select case when lower(trim(split)) in ('train', 'training') then 'train' else 'rest' end as split, count(*) as n, count(distinct numericid) as n_ids from numericitems join (select admissionid, max(split) split from admissions where admissionid is not null group by 1) using (admissionid) group by 1""")
+def op_28_written_by_split(s, d):
+    path = _folder(s)
+    of = table(s, d, "admissions").filter("admissionid is not null").groupBy("admissionid").agg(F.max("split").alias("split"))
+    of = of.select("admissionid", F.when(F.lower(F.trim("split")).isin("train", "training"), "train").otherwise("rest").alias("split"))
+    sinks.write_by_split(table(s, d, "numericitems").select("numericid", "admissionid").join(of, "admissionid"), path, rows_per_file=5000)
+    return s.read.parquet(path).groupBy("split").agg(F.count("*").alias("n"), F.countDistinct("numericid").alias("n_ids"))
+
+
+@query("select tag, itemid, unit, n, place from (select tag, itemid, unit, n, cast(row_number() over (partition by tag order by n desc, itemid nulls last, unit nulls last) as integer) as place from (select tag, itemid, unit, count(*) as n from numericitems group by all)) where place <= 20")
+def op_41_candidate_examples(s, d):
+    found = table(s, d, "numericitems").groupBy("tag", "itemid", "unit").agg(F.count("*").alias("n"))
+    return review.examples(found, "tag", "n", ["itemid", "unit"])
+
+
+# Stays
+
+_EPOCHS = {"0": datetime(2003, 1, 1), "1": datetime(2010, 1, 1)}
+
+
+@query("""select patientid as subject_id, admissionid as hadm_id, admissionid as stay_id, 'own' as source_dataset, case urgency when 0 then timestamp '2003-01-01' when 1 then timestamp '2010-01-01' end + to_microseconds(nullif(admittedat, -1899) * 1000) as admitted,
+case urgency when 0 then timestamp '2003-01-01' when 1 then timestamp '2010-01-01' end + to_microseconds(nullif(dischargedat, -1899) * 1000) as discharged, (dischargedat - admittedat) / 3600000.0 as los_hours from admissions""")
+def op_17_admission_table(s, d):
+    out = anchors.admission_table(table(s, d, "admissions"), "patientid", "admissionid", "urgency", _EPOCHS, {"admittedat": "admitted", "dischargedat": "discharged"}, "own")
+    return out.select("subject_id", "hadm_id", "stay_id", "source_dataset", "admitted", "discharged", "los_hours")
+
+
+@query(f"with {STAYS}, o as (select admissionid, row_number() over (order by (dischargedat - admittedat), admissionid) - 1 as r, count(*) over () as n from stays where dischargedat is not null and admittedat is not null) select admissionid from o where n <= 12 or r = floor((floor(r * 12 / n) + 0.5) * n / 12)")
+def op_116_stays_of_all_lengths(s, d):
+    return anchors.spread_sample(stays(s, d), "admissionid", "los_hours", 12).select("admissionid")
+
+
+@query(f"with {NUMBERS} select itemid, round(avg(case when value = 1 then 1.0 else 0.0 end), 6) as on_rate, count(distinct admissionid) as n_stays from numbers join items using (itemid) where valuetype = 'flag' group by 1")
+def op_91k_on_rate(s, d):
+    flags = table(s, d, "items").filter("valuetype = 'flag'").select("itemid")
+    return numbers(s, d).join(flags, "itemid", "left_semi").groupBy("itemid").agg(F.round(F.avg((F.col("value") == 1).cast("double")), 6).alias("on_rate"), F.countDistinct("admissionid").alias("n_stays"))
+
+
+@query("with n as (select coalesce(origin, '') as cohort, count(distinct admissionid) as n from admissions group by 1) select cohort, n, round(sqrt(n) / sum(sqrt(n)) over (), 9) as weight from n")
+def op_164_cohort_weights(s, d):
+    sizes = table(s, d, "admissions").groupBy(F.coalesce("origin", F.lit("")).alias("cohort")).agg(F.countDistinct("admissionid").alias("n"))
+    return fit.cohort_weight_table(sizes).withColumn("weight", F.round("weight", 9))
+
+
 # Order
 
 

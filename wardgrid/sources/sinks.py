@@ -18,7 +18,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, jvm
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping | None = None) -> None:
     """Writes beside the path, then takes its place, so a dataset may be rewritten from itself.
 
     The old dataset is moved aside, the new one moved in, and only then is the old one deleted: at any
@@ -28,7 +28,7 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     path = path.rstrip("/")
     mark = uuid.uuid4().hex[:8]
     new, old = (jvm.org.apache.hadoop.fs.Path(f"{path}.{what}-{mark}") for what in ("new", "old"))
-    writer = df.write
+    writer = df.write.options(**(options or {}))
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new.toString())
     if fs.exists(target) and not fs.rename(target, old):
         raise OSError(f"{path} could not be moved aside; the new dataset is {new.toString()}")
@@ -51,6 +51,11 @@ def write_shards(df: DataFrame, path: str, split: str = "split", shard: str = "s
     replace(rows, path, [split, shard])
 
 
+def write_by_split(df: DataFrame, path: str, split: str = "split", rows_per_file: int = 1_000_000) -> None:
+    """Parquet by split, each task's rows in parts of at most rows_per_file: a large table isn't shuffled for it."""
+    replace(df, path, [split], {"maxRecordsPerFile": rows_per_file})
+
+
 def guard(spark: SparkSession, path: str, known: Sequence[str], overwrite: bool = False) -> None:
     """Makes ready an output folder: known results there are an error, or deleted if overwrite; others stay."""
     fs, target, jvm = _fs(spark, path)
@@ -68,16 +73,21 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def write_json(spark: SparkSession, content: Mapping, path: str) -> None:
-    """A small JSON file beside a dataset."""
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text file beside a dataset."""
     fs, target, _ = _fs(spark, path)
     out = fs.create(target, True)
     try:
-        out.write(bytearray(json.dumps(content, indent=1, sort_keys=True, default=str).encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
+def write_json(spark: SparkSession, content: Mapping, path: str) -> None:
+    """A small JSON file beside a dataset."""
+    write_text(spark, json.dumps(content, indent=1, sort_keys=True, default=str), path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A small table as one CSV file in a folder."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
