@@ -73,6 +73,12 @@ def test_long_and_repeated_texts(spark, tables):
     assert run(spark, tables, [(1, "Druk", 10.0, None, None, "x" * 100_000 + " [kPa]")] * 2) == [(75.006, True)] * 2
 
 
+def test_units_at_the_end_of_comments(spark, tables):
+    comments = ["gemeten als kPa", "taken in kPa; fine", "overgenomen (kilo pascal)", "set on the machine as k Pa.", "na 20 kPa", "na 20 kPa verhoogd", "bed C", "kPa is what it was", "", "in kPa", "12 kPa", "kPa"]
+    got = run(spark, tables, [(1, "Druk", 10.0, None, None, t) for t in comments])
+    assert [x for _, x in got] == [True, True, True, True, False, False, False, False, False, True, False, True]
+
+
 def test_compositions_are_consistent():
     for tag in (None, "glucpoc", "ca", "hb"):
         for target in SPELLINGS:

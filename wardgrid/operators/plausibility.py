@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardgrid.session import stored
+from wardgrid.session import discard, stored
 
 DAY_MS = 86_400_000
 OUT_OF_BOUNDS, MEASURED, LAB = 1, 2, 4
@@ -358,11 +358,11 @@ def flag_implausible(
     ).filter(" and ".join([*[f"k{i} is not null" for i in range(k)], "t is not null and id is not null and v is not null and not isnan(v)"]))
 
     # Read again for the season, the ranges and the verdict, so what comes before is worked out once.
-    rows = stored(rows)
+    rows = written = stored(rows)
     parts = max(1, -(-rows.count() // rules.rows))
     phase = F.floor(F.pmod(F.col("t"), F.lit(rules.period)) / F.lit(rules.period // rules.phases)).cast("int")
     # Read again for the season, the ranges and the verdict, so what comes before is worked out once.
-    rows = stored(rows)
+    rows = written = stored(rows)
     parts = max(1, -(-rows.count() // rules.rows))
     phase = F.floor(F.pmod(F.col("t"), F.lit(rules.period)) / F.lit(rules.period // rules.phases)).cast("int")
     # The season: each source's mean by phase of the day, within bounds; a row for each source and phase.
@@ -376,6 +376,8 @@ def flag_implausible(
     order = [*names, "t"]
     ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "id")
     level = scanned = stored(ranged.mapInPandas(lambda it: _scan(it, k, parts == 1, rules), OUT_SCHEMA))
+    for done in (written, season):
+        discard(done)
     of = lambda df, kind: df.filter(F.col("kind") == kind)
     sure, candidates, counts = of(scanned, FLAGGED).select("id"), of(scanned, CANDIDATE).select("source", "id", "x"), of(scanned, COUNT)
     ids = of(scanned, EDGE_ID).select("series", "t", "id")

@@ -98,11 +98,35 @@ def _strip_comment(found: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(inner, r"\s*;.*$", ""), r"[\])]\s*$", "")
 
 
-def _alias_frame(spark, units: Sequence[tuple[int, str]]) -> DataFrame:
+def _said(text: Column, known: Sequence[str]) -> Column:
+    """The known spelling that a comment names: after a phrase that leads to one, or else at the end of its
+    first clause, the longest of one to three words. There, one right after a number is an amount, and one
+    of a letter or two may be anything, so these are none."""
+    clause = F.trim(F.regexp_replace(F.regexp_extract(text, r"^([^;]*)", 1), r"[)\]\s.]+$", ""))
+    plain = [s for s in known if len(s) > 2 or not s.isalpha()]
+
+    def last(ws: Column, k: int) -> Column:
+        n = F.size(ws)
+        amount = F.coalesce(F.get(ws, n - k - 1).rlike(r"^[\d.,]+$"), F.lit(False))
+        return F.when((n >= k) & ~amount, F.array_join(F.slice(ws, n - k + 1, k), ""))
+
+    def named(ws: Column) -> Column:
+        ways = F.transform(F.array(_strip_comment(_comment_unit(text)), last(ws, 3), last(ws, 2), last(ws, 1)), normal_text)
+        return F.get(F.filter(ways, lambda t, i: F.when(i == 0, t.isin(*known)).otherwise(t.isin(*plain) if plain else F.lit(False))), 0)
+
+    # The words are bound once.
+    words = F.split(F.regexp_replace(clause, r"[=:,(\[]", " "), r"\s+")
+    return F.get(F.transform(F.array(words), named), 0)
+
+
+def _alias_rows(units: Sequence[tuple[int, str]]) -> dict[str, int]:
     ids = {u: i for i, u in units}
     rows = {_spelt(s): ids[u] for u, all_ in SPELLINGS.items() if u in ids for s in (*all_, u)}
-    rows = {_spelt(u): i for u, i in ids.items() if u not in (None, "None")} | rows
-    return spark.createDataFrame(sorted(rows.items()), "__t string, __u long")
+    return {_spelt(u): i for u, i in ids.items() if u not in (None, "None")} | rows
+
+
+def _alias_frame(spark, units: Sequence[tuple[int, str]]) -> DataFrame:
+    return spark.createDataFrame(sorted(_alias_rows(units).items()), "__t string, __u long")
 
 
 def _conversions(items: Sequence, units: Sequence[tuple[int, str]], extra_edges: Iterable[Edge]) -> list[tuple]:
@@ -133,8 +157,10 @@ def recorded_unit(df: DataFrame, units: Sequence[tuple[int, str]]) -> DataFrame:
     named_id = F.when(F.col("unitid").isin(*valid), F.col("unitid")) if valid else F.lit(None).cast("long")
     out = out.withColumn("__unit", F.coalesce("__tu_id", named_id)).drop("__tu", "__tu_id")
     # Only rows that name no unit so far have their comment and label searched.
-    for k, found in (("__tc", _strip_comment(_comment_unit(F.col("comment")))), ("__ti", _strip(_label_unit(F.col("item"))))):
-        out = out.withColumn(k, F.when(F.col("__unit").isNull(), text(normal_text(found)))).join(lookup(k), k, "left")
+    known = sorted(_alias_rows(units))
+    said = _said(F.col("comment"), known) if known else F.lit(None).cast("string")
+    for k, found in (("__tc", said), ("__ti", normal_text(_strip(_label_unit(F.col("item")))))):
+        out = out.withColumn(k, F.when(F.col("__unit").isNull(), text(found))).join(lookup(k), k, "left")
         out = out.withColumn("__unit", F.coalesce("__unit", f"{k}_id")).drop(k, f"{k}_id")
     return out
 
