@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import c
+from wardgrid.operators.events import row_index
+from wardgrid.operators.lookups import null_safe
 
 
 def hash_order(key: Column, seed: int) -> Column:
@@ -75,15 +77,8 @@ def attached(df: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
 def sharded(units: DataFrame, unit: str, per_shard: int, split: str = "split") -> DataFrame:
     """units (unit, split) with `shard`: per_shard units each, by unit within a split.
 
-    Whole-number units are ranked inside 4,096 equal ranges of their values and moved by the sizes of the
-    ranges before, so no task sorts a split; other units are ranked by split."""
-    ids = units.select(unit, split).distinct()
-    kind = dict(ids.dtypes)[unit]
-    lo, hi = ids.agg(F.min(unit), F.max(unit)).first() if kind in ("bigint", "int", "smallint", "tinyint") else (0, 0)
-    part = F.floor((c(unit) - F.lit(lo)).cast("double") * F.lit(4096.0 / (hi - lo + 1))).cast("int") if kind != "string" and lo is not None and hi > lo else F.lit(0)
-    ids = ids.withColumn("__p", part)
-    # At most 4,096 rows a split.
-    sizes = ids.groupBy(split, "__p").agg(F.count("*").alias("__n"))
-    before = sizes.select(split, "__p", (F.sum("__n").over(Window.partitionBy(split).orderBy("__p")) - F.col("__n")).alias("__o"))
-    rank = F.row_number().over(Window.partitionBy(split, "__p").orderBy(unit)) - 1
-    return ids.withColumn("__r", rank).join(before, [split, "__p"]).select(unit, split, F.floor((F.col("__r") + F.col("__o")) / F.lit(per_shard)).cast("long").alias("shard"))
+    Units are put into ranges and numbered inside each, so no task sorts a split; see row_index."""
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = row_index(units.select(unit, split).distinct(), [split, unit], parts, "__row")
+    first = placed.groupBy(split).agg(F.min("__row").alias("__first"))  # a row for each split
+    return null_safe(placed, first, [split]).select(unit, split, F.floor((F.col("__row") - F.col("__first")) / F.lit(per_shard)).cast("long").alias("shard"))

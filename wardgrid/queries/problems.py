@@ -53,8 +53,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_grid(spark: SparkSession, d: str) -> DataFrame:
-    """Hourly values of each item with a cadence, missing hours filled."""
-    return _grid(spark, d)
+    """Hourly values of each item with a cadence, missing hours filled; values to 4 decimals."""
+    return _grid(spark, d).withColumn("value", F.round("value", 4))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -36,7 +36,39 @@ _WIDE_CONVERTED = _WIDE_CONVERTED.replace("from numericitems where value is not
 for _i in DECIMAL_ITEMS:
     _WIDE_CONVERTED = _WIDE_CONVERTED.replace(f"max(v) filter (itemid = {_i}) as", f"round(max(v) filter (itemid = {_i}) + 0.0, 6) as")
 
+
+
+def _solved(p: int) -> str:
+    """s0 ... s{p}: elimination of the p x p systems in m0 (m_i_j, y_i), then so with the solutions c_i."""
+    steps = []
+    for k in range(p):
+        cols = [f"m_{i}_{j} - m_{i}_{k} / m_{k}_{k} * m_{k}_{j} as m_{i}_{j}" if i > k and j > k else f"m_{i}_{j}" for i in range(p) for j in range(p) if (j >= i if i <= k else j > k)]
+        ys = [f"y_{i} - m_{i}_{k} / m_{k}_{k} * y_{k} as y_{i}" if i > k else f"y_{i}" for i in range(p)]
+        steps.append(f"m{k + 1} as (select admissionid, itemid, {', '.join(cols + ys)} from m{k})")
+    for i in reversed(range(p)):
+        rest = "".join(f" - m_{i}_{j} * c_{j}" for j in range(i + 1, p))
+        source = f"m{p}" if i == p - 1 else f"k{i + 1}"
+        steps.append(f"k{i} as (select *, (y_{i}{rest}) / m_{i}_{i} as c_{i} from {source})")
+    return ", ".join(steps)
+
+
+_WAVES = ["1.0", "h / 100.0", *(f"{f}({j} * 2 * pi() / 24 * h)" for j in (1, 2) for f in ("cos", "sin"))]
+_P = len(_WAVES)
+_SUMS = ", ".join(f"sum(({_WAVES[min(i, j)]}) * ({_WAVES[max(i, j)]})){' + 1.0' if i == j > 0 else ''} as m_{i}_{j}" for i in range(_P) for j in range(_P))
+_PREDICTED = " + ".join(f"c_{i} * ({w})" for i, w in enumerate(_WAVES))
+P5_GRID = f"""with {CONVERTED}, le as (select admissionid, cast(ceil(max(dischargedat - admittedat) / 3600000.0) as bigint) as len from admissions where admissionid is not null group by 1),
+hr as (select z.admissionid, z.itemid, cast(floor(admission_relative_ms / 3600000.0) as bigint) as h, avg(case when not isnan(target_value) then target_value end) as v, count(*) as n from z join le using (admissionid)
+  where z.itemid in (select itemid from items where cadence_ms is not null) and z.v is not null and admission_relative_ms >= 0 and admission_relative_ms < len * 3600000 group by all),
+m0 as (select admissionid, itemid, {_SUMS}, {', '.join(f'sum(({w}) * v) as y_{i}' for i, w in enumerate(_WAVES))} from hr where v is not null group by 1, 2), {_solved(_P)},
+fu as (select s.admissionid, s.itemid, x.h, hr.v, hr.n, {_PREDICTED.replace('h / 100', 'x.h / 100').replace('* h)', '* x.h)')} as pr from (select distinct admissionid, itemid from hr) s join le using (admissionid), lateral (select unnest(range(len)) as h) x
+  left join hr on hr.admissionid = s.admissionid and hr.itemid = s.itemid and hr.h = x.h left join k0 on k0.admissionid = s.admissionid and k0.itemid = s.itemid),
+re as (select *, case when v - pr is not null then {{'h': h, 'r': v - pr}} end as hr from fu),
+pq as (select *, last_value(hr ignore nulls) over (partition by admissionid, itemid order by h rows unbounded preceding) as p, first_value(hr ignore nulls) over (partition by admissionid, itemid order by h rows between 1 following and unbounded following) as q from re),
+fi as (select *, pr + case when p is null or q is null then coalesce(p.r, q.r) else p.r + (h - p.h) / (q.h - p.h) * (q.r - p.r) end as fill from pq)
+select admissionid, itemid, h as hournr, round(case when n is not null then v else fill end + 0.0, 4) as value, coalesce(n, 0) as n_readings, case when n is not null then 'observed' when fill is not null then 'filled' else 'marked' end as status from fi"""
+
 ORACLES = {
+    "p5_grid": P5_GRID,
     "p7_wide_converted": _WIDE_CONVERTED,
     "p1_found": f"{_REACH} select admissionid, p as gapstart, s as gapstop from o where s > p",
     "p1_periods": f"""{_REACH}, k as (select *, sum(case when p is null or s > p then 1 else 0 end) over (partition by admissionid order by s, e rows unbounded preceding) g from o)
