@@ -55,3 +55,45 @@ def test_empty_table_and_two_keys(spark):
 def test_one_hot_key_is_spread(spark):
     df = spark.range(0, 20000, 1, 8).selectExpr("1L as k", "id * 10 as s", "id * 10 + 6 as e")
     assert interval_gaps(df, ["k"], "s", "e", bucket=1000).count() == 19999
+
+
+def test_states_combine_in_any_order():
+    import numpy as np
+
+    from wardgrid.operators.intervals import combined, disjoint, reduced
+
+    rng = random.Random(31)
+    for _ in range(50):
+        spans = sorted((s, s + rng.randint(1, 30)) for s in (rng.randint(0, 300) for _ in range(rng.randint(1, 40))))
+        whole = disjoint(*map(np.array, zip(*spans)))
+        parts = [[x for x in spans if rng.random() < 0.5] for _ in range(5)] + [spans]
+        states = [disjoint(*map(np.array, zip(*p))) for p in parts if p]
+        rng.shuffle(states)
+        for got in (reduced(states), reduced(states[::-1]), combined(states[0], reduced(states))):
+            assert got[0].tolist() == whole[0].tolist() and got[1].tolist() == whole[1].tolist()
+        assert (whole[0][1:] > whole[1][:-1]).all()
+
+
+def test_runs_over_batches():
+    import numpy as np
+    import pandas as pd
+
+    from wardgrid.operators.intervals import _folded, _leaf_states, _node_states
+
+    rng = random.Random(32)
+    data = sorted(((rng.choice([None, 1, 2, 3]), rng.randint(0, 400)) for _ in range(300)), key=lambda r: (r[0] is not None, r))
+    rows_ = [(k, s, s + rng.randint(1, 5)) for k, s in data]
+    periods = {}
+    for k, s, e in rows_:
+        mine = periods.setdefault(k, [])
+        if mine and s <= mine[-1][1]:
+            mine[-1][1] = max(mine[-1][1], e)
+        else:
+            mine.append([s, e])
+    for size in (1, 7, 300):
+        frame = pd.DataFrame(rows_, columns=["k", "__s", "__e"])
+        batches = [frame.iloc[i : i + size].reset_index(drop=True) for i in range(0, 300, size)]
+        leaves = list(_folded(iter(batches), ["k"], _leaf_states))
+        for level in (leaves, list(_folded(iter(leaves), ["k"], _node_states))):
+            got = {None if pd.isna(k) else k: np.stack([s, e], axis=1).tolist() for x in level for k, s, e in zip(x["k"], x["__s"], x["__e"])}
+            assert got == periods

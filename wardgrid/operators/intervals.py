@@ -1,14 +1,15 @@
 """Overlapping and gapped intervals per entity: continuous periods and the gaps between them.
 
-The aggregate's state is a sorted list of disjoint intervals. It is built per input partition,
-merged per (key, time bucket of the start), and the bucket lists are joined over a running
-maximum of the stops of earlier buckets. No task ever holds one key's whole list, so a key with a
-third of all rows spreads over its buckets, and an interval is never cut at a bucket's edge.
+The aggregate's state is a sorted list of disjoint intervals, and two states combine by a linear merge.
+States are built per input partition, combined in a reduction tree per (key, time bucket of the start),
+and only then written out as rows, which a running maximum of the stops of earlier buckets joins. No
+task ever holds one key's whole list, so a key with a third of all rows spreads over its buckets, and
+a bucket with a third of all rows over FAN tasks first; an interval is never cut at a bucket's edge.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,53 +17,105 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
+#: Inner nodes of the reduction tree below each (key, bucket).
+FAN = 16
 
+State = tuple[np.ndarray, np.ndarray]
 
-def _linear_merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Merge rows sorted by (keys, s) into disjoint intervals; the open interval passes from batch to batch."""
-    held: pd.DataFrame | None = None
+
+def disjoint(start: np.ndarray, stop: np.ndarray) -> State:
+    """The state of intervals that are sorted by their starts."""
+    if not len(start):
+        return start, stop
+    reach = np.maximum.accumulate(stop)
+    first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+    return start[first], np.maximum.reduceat(stop, first)
+
+
+def combined(a: State, b: State) -> State:
+    """The state of both: their starts are two sorted runs, which a stable sort merges in linear time."""
+    start = np.concatenate([a[0], b[0]])
+    order = np.argsort(start, kind="stable")
+    return disjoint(start[order], np.concatenate([a[1], b[1]])[order])
+
+
+def reduced(states: list[State]) -> State:
+    """All states combined, pair by pair, level by level."""
+    while len(states) > 1:
+        states = [combined(*states[i : i + 2]) if i + 1 < len(states) else states[i] for i in range(0, len(states), 2)]
+    return states[0]
+
+
+def _folded(batches: Iterator[pd.DataFrame], keys: Sequence[str], pieces: Callable[[pd.DataFrame, np.ndarray], list[list[State]]]) -> Iterator[pd.DataFrame]:
+    """The state of each key of batches sorted by keys; null keys are equal. `pieces` gives the states of each
+    run of equal keys in a batch, the run that goes on from the batch before as number 0."""
+    head: pd.DataFrame | None = None
+    held: list[State] = []
+    made = lambda heads, states: pd.concat(heads, ignore_index=True).assign(__s=[x for x, _ in states], __e=[x for _, x in states])
     for batch in batches:
-        if held is not None:
-            batch = pd.concat([held, batch], ignore_index=True)
         if batch.empty:
             continue
-        keys = [c for c in batch.columns if c not in ("__s", "__e")]
-        changed = np.zeros(len(batch), dtype=bool)
-        changed[0] = True
+        mine = batch[list(keys)]
+        both = mine if head is None else pd.concat([head, mine])
+        new = np.zeros(len(both), dtype=bool)
+        new[0] = True
         for k in keys:
-            col = batch[k]
-            null = col.isna().to_numpy()
-            same = (col == col.shift()).fillna(False).to_numpy(dtype=bool)
-            both_null = null & np.r_[False, null[:-1]]
-            changed |= ~(same | both_null)
-            changed[0] = True
-        start, stop = batch["__s"].to_numpy(), batch["__e"].to_numpy()
-        reach = batch.groupby(np.cumsum(changed), sort=False)["__e"].cummax().to_numpy()
-        opens = changed.copy()
-        opens[1:] |= start[1:] > reach[:-1]
-        first = np.flatnonzero(opens)
-        merged = batch.iloc[first].copy()
-        merged["__e"] = np.maximum.reduceat(stop, first)
-        held = merged.iloc[-1:]
-        if len(merged) > 1:
-            yield merged.iloc[:-1]
-    if held is not None:
-        yield held
+            null = both[k].isna().to_numpy()
+            same = (both[k] == both[k].shift()).fillna(False).to_numpy(dtype=bool)
+            new |= ~(same | (null & np.r_[False, null[:-1]]))
+        new = new[len(both) - len(mine) :]
+        run, first = np.cumsum(new), np.flatnonzero(new)
+        states = pieces(batch, run)
+        held += states[0]
+        if len(first):
+            heads, closed = ([head], [reduced(held)]) if head is not None else ([], [])
+            if len(first) > 1:
+                heads.append(mine.iloc[first[:-1]])
+                closed += [reduced(x) for x in states[1:-1]]
+            if heads:
+                yield made(heads, closed)
+            head, held = mine.iloc[first[-1:]], states[-1]
+    if head is not None:
+        yield made([head], [reduced(held)])
+
+
+def _leaf_states(batch: pd.DataFrame, run: np.ndarray) -> list[list[State]]:
+    """One state for each run of rows sorted by their starts, all runs at once."""
+    start, stop = batch["__s"].to_numpy(), batch["__e"].to_numpy()
+    reach = pd.Series(stop).groupby(run).cummax().to_numpy()
+    first = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (start[1:] > reach[:-1])])
+    s, e = start[first], np.maximum.reduceat(stop, first)
+    edge = np.searchsorted(run[first], np.arange(run[-1] + 2))
+    return [[(s[lo:hi], e[lo:hi])] if hi > lo else [] for lo, hi in zip(edge, edge[1:])]
+
+
+def _node_states(batch: pd.DataFrame, run: np.ndarray) -> list[list[State]]:
+    """The states of each run of rows that hold one each."""
+    out: list[list[State]] = [[] for _ in range(run[-1] + 1)]
+    for r, s, e in zip(run.tolist(), batch["__s"], batch["__e"]):
+        out[r].append((s, e))
+    return out
 
 
 def _merged_lists(df: DataFrame, keys: Sequence[str], start: str, stop: str, bucket: int) -> tuple[DataFrame, list[str]]:
     """Sorted disjoint intervals per (key, bucket), as rows (__k*, __b, __s, __e)."""
     named = [f"__k{i}" for i in range(len(keys))]
+    node = [*named, "__b"]
     rows = df.select(
         *[F.col(f"`{k}`").alias(n) for k, n in zip(keys, named)],
         F.floor(F.col(f"`{start}`").cast("long") / F.lit(bucket)).cast("long").alias("__b"),
         F.col(f"`{start}`").cast("long").alias("__s"),
         F.col(f"`{stop}`").cast("long").alias("__e"),
     ).filter("__s is not null and __e is not null and __e > __s")
-    order = [*named, "__b", "__s"]
-    partial = rows.sortWithinPartitions(*order).mapInPandas(_linear_merge, rows.schema)
-    spread = partial.repartition(*[F.col(c) for c in (*named, "__b")]).sortWithinPartitions(*order)
-    return spread.mapInPandas(_linear_merge, rows.schema), named
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(node)]) + ", __s array<bigint>, __e array<bigint>"
+    states = rows.sortWithinPartitions(*node, "__s").mapInPandas(lambda it: _folded(it, node, _leaf_states), schema)
+    # The inner level takes each partition's state to one of FAN nodes, the root the nodes' states together.
+    inner = states.withColumn("__n", F.pmod(F.spark_partition_id(), F.lit(FAN))).repartition(*node, "__n").drop("__n")
+    for level in (inner, None):
+        level = states.repartition(*node) if level is None else level
+        states = level.sortWithinPartitions(*node).mapInPandas(lambda it: _folded(it, node, _node_states), schema)
+    lists = states.select(*node, F.explode(F.arrays_zip("__s", "__e")).alias("x"))
+    return lists.select(*node, F.col("x.__s").alias("__s"), F.col("x.__e").alias("__e")), named
 
 
 def _with_reach(lists: DataFrame, named: list[str]) -> DataFrame:
