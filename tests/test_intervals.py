@@ -97,3 +97,10 @@ def test_runs_over_batches():
         for level in (leaves, list(_folded(iter(leaves), ["k"], _node_states))):
             got = {None if pd.isna(k) else k: np.stack([s, e], axis=1).tolist() for x in level for k, s, e in zip(x["k"], x["__s"], x["__e"])}
             assert got == periods
+
+
+def test_large_keys_beside_null_ones(spark):
+    big = 2**60 + 1
+    df = spark.createDataFrame([(big, 0, 5), (big + 1, 0, 5), (big, 9, 12), (big + 1, 3, 20), (None, 0, 1), (None, 4, 6)], "k long, s long, e long")
+    assert rows(interval_gaps(df, ["k"], "s", "e")) == [(None, 1, 4), (big, 5, 9)]
+    assert rows(merge_intervals(df, ["k"], "s", "e")) == [(None, 0, 1), (None, 4, 6), (big, 0, 5), (big, 9, 12), (big + 1, 0, 20)]

@@ -61,8 +61,8 @@ def _folded(batches: Iterator[pd.DataFrame], keys: Sequence[str], pieces: Callab
         new[0] = True
         for k in keys:
             null = both[k].isna().to_numpy()
-            same = (both[k] == both[k].shift()).fillna(False).to_numpy(dtype=bool)
-            new |= ~(same | (null & np.r_[False, null[:-1]]))
+            value = both[k].to_numpy()
+            new[1:] |= ~((value[1:] == value[:-1]).astype(bool) | (null[1:] & null[:-1]))
         new = new[len(both) - len(mine) :]
         run, first = np.cumsum(new), np.flatnonzero(new)
         states = pieces(batch, run)
@@ -100,9 +100,14 @@ def _node_states(batch: pd.DataFrame, run: np.ndarray) -> list[list[State]]:
 def _merged_lists(df: DataFrame, keys: Sequence[str], start: str, stop: str, bucket: int) -> tuple[DataFrame, list[str]]:
     """Sorted disjoint intervals per (key, bucket), as rows (__k*, __b, __s, __e)."""
     named = [f"__k{i}" for i in range(len(keys))]
-    node = [*named, "__b"]
+    # Whole numbers beside a null would reach pandas as floats; nulls travel as a flag of their own.
+    whole = [n for k, n in zip(keys, named) if dict(df.dtypes)[k] in ("bigint", "int", "smallint", "tinyint")]
+    flags = [f"__z{n}" for n in whole]
+    node = [*flags, *named, "__b"]
+    key = lambda k, n: F.coalesce(F.col(f"`{k}`"), F.lit(0)) if n in whole else F.col(f"`{k}`")
     rows = df.select(
-        *[F.col(f"`{k}`").alias(n) for k, n in zip(keys, named)],
+        *[F.col(f"`{k}`").isNull().alias(f"__z{n}") for k, n in zip(keys, named) if n in whole],
+        *[key(k, n).cast(dict(df.dtypes)[k]).alias(n) for k, n in zip(keys, named)],
         F.floor(F.col(f"`{start}`").cast("long") / F.lit(bucket)).cast("long").alias("__b"),
         F.col(f"`{start}`").cast("long").alias("__s"),
         F.col(f"`{stop}`").cast("long").alias("__e"),
@@ -115,7 +120,8 @@ def _merged_lists(df: DataFrame, keys: Sequence[str], start: str, stop: str, buc
         level = states.repartition(*node) if level is None else level
         states = level.sortWithinPartitions(*node).mapInPandas(lambda it: _folded(it, node, _node_states), schema)
     lists = states.select(*node, F.explode(F.arrays_zip("__s", "__e")).alias("x"))
-    return lists.select(*node, F.col("x.__s").alias("__s"), F.col("x.__e").alias("__e")), named
+    back = [F.when(~F.col(f"__z{n}"), F.col(n)).alias(n) if n in whole else F.col(n) for n in named]
+    return lists.select(*back, "__b", F.col("x.__s").alias("__s"), F.col("x.__e").alias("__e")), named
 
 
 def _with_reach(lists: DataFrame, named: list[str]) -> DataFrame:
